@@ -36,6 +36,13 @@ def edges(indexed_transfers: DataFrame) -> DataFrame:
     )
 
 
+def wallet_pairs(transfers: DataFrame) -> DataFrame:
+    """Distinct address pairs: enough for the graph, and far fewer rows to look ids up for."""
+    return transfers.select(
+        F.lower("from_address").alias("from_address"), F.lower("to_address").alias("to_address")
+    ).distinct()
+
+
 def _ends(edge_list: DataFrame) -> DataFrame:
     ends = F.array(
         F.struct(F.col("src").alias("id"), F.lit(1).alias("out")),

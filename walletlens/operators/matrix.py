@@ -65,10 +65,10 @@ def index_pairs(
     return indexed.orderBy("user_id", "token_id") if ordered else indexed
 
 
-def index_transfers(transfers: DataFrame, user_map: DataFrame, token_map: DataFrame) -> DataFrame:
-    """Transfers by id; an end or an asset without an id becomes NULL.
+def index_ends(transfers: DataFrame, user_map: DataFrame) -> DataFrame:
+    """Replace both addresses by ids, keeping every other column; unmapped ends become NULL.
 
-    Pass stored maps: plain exchanges on both sides let hub wallets be split at run time.
+    Pass a stored map: plain exchanges on both sides let hub wallets be split at run time.
     """
     senders = user_map.select(
         F.lower("user_address").alias("from_address"), F.col("user_id").alias("from_user_id")
@@ -76,16 +76,25 @@ def index_transfers(transfers: DataFrame, user_map: DataFrame, token_map: DataFr
     receivers = user_map.select(
         F.lower("user_address").alias("to_address"), F.col("user_id").alias("to_user_id")
     )
-    assets = token_map.select(F.lower("token_address").alias("token_address"), "token_id")
+    rest = [c for c in transfers.columns if c not in ("from_address", "to_address")]
     return (
         transfers.select(
             F.lower("from_address").alias("from_address"),
             F.lower("to_address").alias("to_address"),
-            F.lower("token_address").alias("token_address"),
-            "adjusted_value",
+            *rest,
         )
         .join(senders, "from_address", "left")
         .join(receivers, "to_address", "left")
+        .select("from_user_id", "to_user_id", *rest)
+    )
+
+
+def index_transfers(transfers: DataFrame, user_map: DataFrame, token_map: DataFrame) -> DataFrame:
+    """Transfers by id; an end or an asset without an id becomes NULL."""
+    assets = token_map.select(F.lower("token_address").alias("token_address"), "token_id")
+    return (
+        index_ends(transfers, user_map)
+        .withColumn("token_address", F.lower("token_address"))
         .join(assets, "token_address", "left")
         .select("from_user_id", "to_user_id", "token_id", "adjusted_value")
     )

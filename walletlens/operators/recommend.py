@@ -50,11 +50,19 @@ def train_als(
     alpha: float,
     max_iter: int = MAX_ITER,
     seed: int = SEED,
+    blocks: int | None = None,
 ) -> ALSModel:
-    """Fit non-negative implicit ALS on ``(user_id_int, token_id_int, ultimate_confidence)``."""
+    """Fit non-negative implicit ALS on ``(user_id_int, token_id_int, ultimate_confidence)``.
+
+    Users and items are split into ``blocks``, by default one per core of the cluster: the
+    library's own fixed number would leave most of a large cluster idle.
+    """
     # ALS cuts its own lineage every few rounds once a checkpoint folder is known.
     shared_root(interactions.sparkSession)
+    blocks = blocks or interactions.sparkSession.sparkContext.defaultParallelism
     return ALS(
+        numUserBlocks=blocks,
+        numItemBlocks=blocks,
         rank=rank,
         regParam=reg,
         alpha=alpha,

@@ -66,7 +66,7 @@ def route_recommendations(
     top_n: int = TOP_N,
     strict: bool = False,
 ) -> DataFrame:
-    """Answer ``requests (user_id, risk_mode)`` in one batch.
+    """Answer the distinct ``requests (user_id, risk_mode)`` in one batch.
 
     A wallet with history gets its rows of ``recs`` (see ``recommend_top_n``), any other the
     top of the safe catalog when it asks for "safe" and of the trending one otherwise.
@@ -84,7 +84,8 @@ def route_recommendations(
         )
     )
     routed = (
-        requests.withColumn("user_id", F.col("user_id").cast("string"))
+        requests.select(F.col("user_id").cast("string").alias("user_id"), "risk_mode")
+        .distinct()
         .join(known, "user_id", "left")
         .join(lists, "user_id_int", "left")
     )

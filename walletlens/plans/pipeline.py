@@ -66,7 +66,8 @@ class WalletPipeline:
 
     @cached_property
     def processed(self) -> DataFrame:
-        return clean.processed_transfers(self.normalized)
+        # Read once for the wallet map and once to be indexed.
+        return written(clean.processed_transfers(self.normalized), "processed")
 
     @cached_property
     def flows(self) -> DataFrame:
@@ -150,7 +151,8 @@ class WalletPipeline:
 
     @cached_property
     def edges(self) -> DataFrame:
-        return graph.edges(self.indexed_transfers)
+        pairs = graph.wallet_pairs(self.processed)
+        return graph.edges(matrix.index_ends(pairs, self.user_map))
 
     @cached_property
     def ranks(self) -> DataFrame:

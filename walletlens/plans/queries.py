@@ -310,7 +310,7 @@ def filter_pairs_metrics(stages: WalletPipeline) -> DataFrame:
 
 @stage_query
 def edges(stages: WalletPipeline) -> DataFrame:
-    return stages.edges
+    return graph.edges(stages.indexed_transfers)
 
 
 @stage_query

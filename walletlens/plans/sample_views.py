@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from walletlens.plans.pipeline import Settings, WalletPipeline
+from walletlens.sources.tables import spread
 
 # Thresholds scaled to the size of the benchmark tables.
 SAMPLE_SETTINGS = Settings(
@@ -48,7 +49,7 @@ class SampleViews:
         )
 
     def transfers(self) -> DataFrame:
-        lines = self._table("lineitem")
+        lines = spread(self._table("lineitem"))
         orders = self._table("orders").select("o_orderkey", "o_custkey")
         parts = self._table("part").select("p_partkey", "p_size")
         amount = F.expr(
@@ -87,7 +88,7 @@ class SampleViews:
             "cast(concat(cast(cast(round(value * 100) as bigint) as string), repeat('0', 16)) "
             "as decimal(38,9))"
         )
-        return self._table("events").select(
+        return spread(self._table("events")).select(
             address("event_id").alias("hash"),
             address("user_id").alias("from_address"),
             F.when(F.col("event_id") % 97 != 0, address("event_id % 100")).alias("to_address"),
