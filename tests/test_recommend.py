@@ -1,0 +1,179 @@
+from __future__ import annotations
+
+import math
+import random
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from walletlens.operators import evaluate, features, recommend, route
+
+RECS = "user_id_int int, token_id_int int, score double"
+TEST = "user_id_int int, token_id_int int"
+
+
+def metrics_by_hand(recs, truth, k):
+    """Per-user loops over plain Python lists."""
+    lists, relevant = {}, {}
+    for user, item, score in recs:
+        lists.setdefault(user, []).append((-score, item))
+    for user, item in truth:
+        relevant.setdefault(user, set()).add(item)
+    values = []
+    for user in sorted(lists.keys() & relevant.keys()):
+        hits = [item in relevant[user] for _, item in sorted(lists[user])[:k]]
+        gain = sum(h / math.log2(i + 2) for i, h in enumerate(hits))
+        best = sum(1 / math.log2(i + 2) for i in range(min(len(relevant[user]), k)))
+        values.append((sum(hits) / k, sum(hits) / len(relevant[user]), gain / best, float(any(hits))))
+    n = len(values)
+    return tuple(round(sum(v) / n, 4) for v in zip(*values)) + (n, len(relevant))
+
+
+def test_metrics_match_loops(spark):
+    random.seed(8)
+    recs = [(u, i, random.choice([1.0, 2.0, 3.0])) for u in range(40) for i in random.sample(range(60), 20)]
+    truth = {(random.randrange(20, 60), random.randrange(60)) for _ in range(300)}
+    truth |= {(20, i) for i in range(60)}  # far more relevant items than cutoffs
+    ranked = evaluate.rank_recs(spark.createDataFrame(recs, RECS))
+    got = evaluate.ranking_metrics(ranked, spark.createDataFrame(sorted(truth), TEST))
+    for row in got.collect():
+        assert tuple(row)[1:] == pytest.approx(metrics_by_hand(recs, truth, row.k), abs=1e-4)
+    assert [r.k for r in got.collect()] == [5, 10, 20]
+    one = evaluate.ndcg_at_k(ranked, spark.createDataFrame(sorted(truth), TEST)).first()
+    assert one.ndcg == got.filter("k = 10").first().ndcg and one.users == 20
+
+
+def test_metrics_without_users(spark):
+    none = evaluate.rank_recs(spark.createDataFrame([], RECS))
+    truth = spark.createDataFrame([(1, 1)], TEST)
+    assert rows(evaluate.ranking_metrics(none, truth, [5])) == [(5, 0.0, 0.0, 0.0, 0.0, 0, 1)]
+    assert rows(evaluate.ndcg_at_k(none, truth.limit(0))) == [(0.0, 0)]
+
+
+def test_rank_and_coverage(spark):
+    recs = spark.createDataFrame([(1, 7, 2.0), (1, 5, 2.0), (1, 9, 3.0), (2, 7, 1.0)], RECS)
+    ranked = evaluate.rank_recs(recs)
+    assert rows(ranked, "user_id_int", "rank", "token_id_int") == [
+        (1, 1, 9), (1, 2, 5), (1, 3, 7), (2, 1, 7),
+    ]
+    items = spark.createDataFrame([(0, i) for i in range(10)], TEST)
+    assert rows(evaluate.catalog_coverage(ranked, items, 2)) == [(3, 10, 30.0)]
+    assert rows(evaluate.ground_truth(spark.createDataFrame([(1, 3), (1, 2), (1, 3)], TEST))) == [
+        (1, [2, 3]),
+    ]
+
+
+def blocks(spark):
+    """Two groups of users, each holding most of its own half of the items."""
+    random.seed(9)
+    data = [
+        (u, i, 3.0)
+        for u in range(60)
+        for i in range(40)
+        if (u % 2 == i % 2) and random.random() < 0.7
+    ]
+    return spark.createDataFrame(
+        data, "user_id_int int, token_id_int int, ultimate_confidence double"
+    )
+
+
+def test_als_beats_popularity_and_round_trips(spark, tmp_path):
+    train, test = features.train_test_split(blocks(spark), ["user_id_int", "token_id_int"])
+    grid = [recommend.AlsSetting(2, 0.1, 15.0), recommend.AlsSetting(4, 0.1, 15.0)]
+    model, table = recommend.select_model(train, test, grid, max_iter=5)
+    chosen = table.collect()
+    assert table.columns == ["label", "ndcg", "users", "best"]
+    assert sum(r.best for r in chosen) == 1 and chosen[0].best
+    assert chosen[0].ndcg == max(r.ndcg for r in chosen)
+
+    recs = recommend.recommend_top_n(model, test, 10)
+    per_user = recs.groupBy("user_id_int").agg(F.max("rank").alias("n"), F.min("score").alias("low"))
+    assert all(r.n <= 10 and r.low >= 0 and math.isfinite(r.low) for r in per_user.collect())
+    popular = train.groupBy("token_id_int").agg(F.count("*").cast("double").alias("score"))
+    top = popular.orderBy(F.desc("score")).limit(10)
+    users = test.select("user_id_int").distinct()
+    plain = evaluate.rank_recs(
+        spark.createDataFrame(
+            [(u.user_id_int, i.token_id_int, i.score) for u in users.collect() for i in top.collect()],
+            RECS,
+        )
+    )
+    assert evaluate.ndcg_at_k(recs, test).first().ndcg > evaluate.ndcg_at_k(plain, test).first().ndcg
+
+    path = str(tmp_path / "model")
+    recommend.save_model(model, path)
+    recommend.save_model(model, path)
+    again = recommend.recommend_top_n(recommend.load_model(path), test, 10)
+    assert rows(again) == rows(recs)
+    unknown = spark.createDataFrame([(999,)], "user_id_int int")
+    assert recommend.recommend_top_n(model, unknown, 5).count() == 0
+    assert recommend.MODEL_GRID[0].label == "rank=30 reg=0.10 alpha=15"
+
+
+def test_min_interactions(spark):
+    train = blocks(spark)
+    lone = spark.createDataFrame([(500, 1, 3.0)], train.schema)
+    model, _ = recommend.select_model(
+        train.union(lone), train.select("user_id_int", "token_id_int"),
+        [recommend.AlsSetting(2, 0.1, 15.0)], max_iter=2, min_interactions=5,
+    )
+    assert model.userFactors.filter("id = 500").count() == 0
+
+
+def interactions(spark):
+    data = [
+        # user_id, token_id, user_id_int, token_id_int, total_tx, num_holders
+        (11, 101, 0, 0, 10, 2000),
+        (12, 101, 1, 0, 30, 2000),
+        (11, 102, 0, 1, 10, 1001),
+        (12, 103, 1, 2, 30, 1000),
+        (11, 104, 0, 3, 10, 10),
+        (11, 105, 0, 4, 10, 9),
+        (12, 106, 1, 5, 30, 5000),
+    ]
+    return spark.createDataFrame(
+        data,
+        "user_id bigint, token_id bigint, user_id_int int, token_id_int int, total_tx bigint, "
+        "num_holders bigint",
+    )
+
+
+def test_catalogs(spark):
+    safe = route.safe_catalog(interactions(spark), ordered=True).collect()
+    assert [r.token_id for r in safe] == [106, 101, 102]
+    assert safe[1].total_volume == 40
+    assert safe[1].safety_score == pytest.approx(math.log1p(2000) * math.log1p(40))
+    trending = route.trending_catalog(interactions(spark), ordered=True).collect()
+    assert [r.token_id for r in trending] == [104, 103, 101, 102]
+    assert trending[0].momentum_score == 1.0
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_router(spark, strict):
+    requests = spark.createDataFrame(
+        [("11", "safe"), ("11", "safe"), ("12", "daring"), ("77", "safe"), ("0xabc", "daring"),
+         ("78", None)],
+        "user_id string, risk_mode string",
+    )
+    recs = evaluate.rank_recs(
+        spark.createDataFrame([(0, 3, 0.5), (0, 0, 0.9), (0, 1, 0.1)], RECS)
+    )
+    known = interactions(spark)
+    got = route.route_recommendations(
+        requests, known, recs, route.safe_catalog(known), route.trending_catalog(known),
+        top_n=2, strict=strict,
+    )
+    assert got.columns == ["user_id", "risk_mode", "rank", "token_id_int", "score", "source"]
+    lists = {}
+    for r in got.orderBy("user_id", "rank").collect():
+        lists.setdefault((r.user_id, r.source), []).append(r.token_id_int)
+    want = {
+        ("11", "als"): [0, 3],
+        ("77", "safe"): [5, 0],
+        ("0xabc", "trending"): [3, 2],
+        ("78", "trending"): [3, 2],
+    }
+    if not strict:  # known, but without recommendations
+        want["12", "trending"] = [3, 2]
+    assert lists == want

@@ -2,44 +2,76 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
-
-RAW_TRANSACTIONS = StructType.fromDDL(
-    "hash string, from_address string, to_address string, value decimal(38,9), "
-    "block_timestamp timestamp, gas_price bigint, receipt_status int"
-)
-TRANSACTIONS = StructType.fromDDL(
-    "hash string, from_address string, to_address string, eth_value double, "
-    "block_timestamp timestamp, gas_price bigint"
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DecimalType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
 )
-TOKENS = StructType.fromDDL(
-    "address string, symbol string, name string, decimals string, total_supply string"
+
+STRING, LONG, INT, DOUBLE = StringType(), LongType(), IntegerType(), DoubleType()
+BOOLEAN, TIMESTAMP = BooleanType(), TimestampType()
+
+
+def _table(**columns: DataType) -> StructType:
+    return StructType([StructField(name, kind) for name, kind in columns.items()])
+
+
+RAW_TRANSACTIONS = _table(
+    hash=STRING,
+    from_address=STRING,
+    to_address=STRING,
+    value=DecimalType(38, 9),
+    block_timestamp=TIMESTAMP,
+    gas_price=LONG,
+    receipt_status=INT,
 )
-TRANSFERS = StructType.fromDDL(
-    "token_address string, from_address string, to_address string, value string, "
-    "transaction_hash string, block_timestamp timestamp"
+TRANSACTIONS = _table(
+    hash=STRING,
+    from_address=STRING,
+    to_address=STRING,
+    eth_value=DOUBLE,
+    block_timestamp=TIMESTAMP,
+    gas_price=LONG,
 )
-RAW_CONTRACTS = StructType.fromDDL(
-    "address string, is_erc20 boolean, is_erc721 boolean, block_timestamp timestamp"
+TOKENS = _table(address=STRING, symbol=STRING, name=STRING, decimals=STRING, total_supply=STRING)
+TRANSFERS = _table(
+    token_address=STRING,
+    from_address=STRING,
+    to_address=STRING,
+    value=STRING,
+    transaction_hash=STRING,
+    block_timestamp=TIMESTAMP,
 )
-CONTRACTS = StructType.fromDDL("address string, is_erc20 boolean, is_erc721 boolean")
-PROCESSED_TRANSFERS = StructType.fromDDL(
-    "from_address string, to_address string, token_address string, adjusted_value double"
+RAW_CONTRACTS = _table(
+    address=STRING, is_erc20=BOOLEAN, is_erc721=BOOLEAN, block_timestamp=TIMESTAMP
 )
-PORTFOLIOS = StructType.fromDDL(
-    "user_address string, token_address string, balance double, tx_count bigint, "
-    "last_active timestamp, is_contract boolean"
+CONTRACTS = _table(address=STRING, is_erc20=BOOLEAN, is_erc721=BOOLEAN)
+PROCESSED_TRANSFERS = _table(
+    from_address=STRING, to_address=STRING, token_address=STRING, adjusted_value=DOUBLE
 )
-SCORED_PAIRS = StructType.fromDDL(
-    "user_address string, token_address string, total_tx bigint, num_holders bigint"
+PORTFOLIOS = _table(
+    user_address=STRING,
+    token_address=STRING,
+    balance=DOUBLE,
+    tx_count=LONG,
+    last_active=TIMESTAMP,
+    is_contract=BOOLEAN,
 )
-USER_MAP = StructType.fromDDL("user_address string, user_id bigint")
-TOKEN_MAP = StructType.fromDDL("token_address string, token_id bigint")
-INDEXED_PAIRS = StructType.fromDDL(
-    "user_id bigint, token_id bigint, total_tx bigint, num_holders bigint"
+SCORED_PAIRS = _table(
+    user_address=STRING, token_address=STRING, total_tx=LONG, num_holders=LONG
 )
-INDEXED_TRANSFERS = StructType.fromDDL(
-    "from_user_id bigint, to_user_id bigint, token_id bigint, adjusted_value double"
+USER_MAP = _table(user_address=STRING, user_id=LONG)
+TOKEN_MAP = _table(token_address=STRING, token_id=LONG)
+INDEXED_PAIRS = _table(user_id=LONG, token_id=LONG, total_tx=LONG, num_holders=LONG)
+INDEXED_TRANSFERS = _table(
+    from_user_id=LONG, to_user_id=LONG, token_id=LONG, adjusted_value=DOUBLE
 )
-RANKS = StructType.fromDDL("id bigint, pagerank double")
-REQUESTS = StructType.fromDDL("user_id string, risk_mode string")
+RANKS = _table(id=LONG, pagerank=DOUBLE)
+REQUESTS = _table(user_id=STRING, risk_mode=STRING)

@@ -22,7 +22,12 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", memory: str = "8g", partitions: int = 8) -> SparkSession:
+def local_session(
+    cores: int | str = "*",
+    memory: str = "8g",
+    partitions: int = 8,
+    conf: dict[str, str] | None = None,
+) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -31,6 +36,8 @@ def local_session(cores: int | str = "*", memory: str = "8g", partitions: int =
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.ui.enabled", "false")
     )
+    for key, value in (conf or {}).items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return tune(spark)
