@@ -67,8 +67,17 @@ def label_counts(labelled: DataFrame) -> DataFrame:
     )
 
 
+def wallet_totals(held: DataFrame) -> DataFrame:
+    """One row per wallet with its transactions; labels and cuts need no more than this."""
+    return held.groupBy("user_address").agg(F.sum("tx_count").alias("tx_count"))
+
+
 def real_users(labelled: DataFrame, max_tx: int = EXCHANGE_TX_LIMIT) -> DataFrame:
-    """Wallets that are neither contracts nor, by activity, exchanges."""
+    """Wallets that are neither contracts nor, by activity, exchanges.
+
+    ``labelled`` may hold portfolio rows or, cheaper, labelled ``wallet_totals``: those are
+    combined before the label join, so a wallet with very many assets arrives as one row.
+    """
     return (
         labelled.filter(~F.col("is_contract"))
         .groupBy("user_address")
@@ -77,10 +86,13 @@ def real_users(labelled: DataFrame, max_tx: int = EXCHANGE_TX_LIMIT) -> DataFram
     )
 
 
-def real_portfolios(labelled: DataFrame, users: DataFrame) -> DataFrame:
-    """Portfolio rows of the wallets in ``users`` (see ``real_users``; pass it stored)."""
-    return labelled.filter(~F.col("is_contract")).join(
-        users.select("user_address"), "user_address", "left_semi"
+def real_portfolios(held: DataFrame, users: DataFrame) -> DataFrame:
+    """Portfolio rows of ``users`` (see ``real_users``; pass it stored).
+
+    None of these wallets is a contract, so the rows need no label join of their own.
+    """
+    return held.join(users.select("user_address"), "user_address", "left_semi").withColumn(
+        "is_contract", F.lit(False)
     )
 
 

@@ -91,11 +91,15 @@ class WalletPipeline:
 
     @cached_property
     def real_users(self) -> DataFrame:
-        return portfolio.real_users(self.labelled, self.settings.exchange_tx_limit)
+        totals = portfolio.wallet_totals(self.stored_portfolios)
+        return portfolio.real_users(
+            portfolio.label_contracts(totals, self.contracts), self.settings.exchange_tx_limit
+        )
 
     @cached_property
     def real_portfolios(self) -> DataFrame:
-        return portfolio.real_portfolios(self.labelled, written(self.real_users, "real-users"))
+        users = written(self.real_users, "real-users")
+        return portfolio.real_portfolios(self.stored_portfolios, users)
 
     @cached_property
     def stored_real_portfolios(self) -> DataFrame:
