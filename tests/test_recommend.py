@@ -106,6 +106,8 @@ def test_als_beats_popularity_and_round_trips(spark, tmp_path):
     recommend.save_model(model, path)
     again = recommend.recommend_top_n(recommend.load_model(path), test, 10)
     assert rows(again) == rows(recs)
+    metrics = recommend.evaluate_model(model, test, [5, 10])
+    assert metrics.filter("k = 10").first().ndcg == chosen[0].ndcg
     unknown = spark.createDataFrame([(999,)], "user_id_int int")
     assert recommend.recommend_top_n(model, unknown, 5).count() == 0
     assert recommend.MODEL_GRID[0].label == "rank=30 reg=0.10 alpha=15"
@@ -177,3 +179,18 @@ def test_router(spark, strict):
     if not strict:  # known, but without recommendations
         want["12", "trending"] = [3, 2]
     assert lists == want
+
+
+def test_single_wallet_router(spark):
+    known = interactions(spark).withColumn("ultimate_confidence", F.log1p("total_tx"))
+    model = recommend.train_als(known, 2, 0.1, 15.0, max_iter=3)
+    safe, trending = route.safe_catalog(known), route.trending_catalog(known)
+
+    def ask(user_id, mode="safe"):
+        got = recommend.recommend_for_user(user_id, model, known, safe, trending, 3, mode)
+        return {r.source for r in got.collect()}, got.count()
+
+    assert ask(11) == ({"als"}, 3)
+    assert ask("12", "daring") == ({"als"}, 3)
+    assert ask("0xNEW") == ({"safe"}, 3)
+    assert ask("0xNEW", "daring") == ({"trending"}, 3)

@@ -29,8 +29,9 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str = "stage") -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_root(spark)}/walletlens/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; one application's paths lie together."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_root(spark)}/walletlens/{application}/{label}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, label: str = "stage") -> DataFrame:

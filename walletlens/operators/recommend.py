@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from walletlens.functions.shared_storage import shared_root, written
-from walletlens.operators.evaluate import ndcg_at_k, rank_recs
+from walletlens.operators.evaluate import CUTOFFS, ndcg_at_k, rank_recs, ranking_metrics
+from walletlens.operators.route import SAFE_MODE, TOP_N, route_recommendations
 
 # Fixed values.
 USER_COL = "user_id_int"
@@ -91,6 +92,30 @@ def recommend_top_n(model: ALSModel, users: DataFrame, k: int) -> DataFrame:
     return rank_recs(recs)
 
 
+def evaluate_model(model: ALSModel, test: DataFrame, ks: Sequence[int] = CUTOFFS) -> DataFrame:
+    """Ranking metrics of a model on held-out rows; one list per user serves every cutoff."""
+    return ranking_metrics(recommend_top_n(model, test, max(ks)), test, ks)
+
+
+def recommend_for_user(
+    user_id: str | int,
+    model: ALSModel,
+    history: DataFrame,
+    safe: DataFrame,
+    trending: DataFrame,
+    top_n: int = TOP_N,
+    risk_mode: str | None = SAFE_MODE,
+) -> DataFrame:
+    """The router for a single wallet; use ``route_recommendations`` for more than a few."""
+    spark = history.sparkSession
+    request = spark.createDataFrame(
+        [(str(user_id), risk_mode)], "user_id string, risk_mode string"
+    )
+    user = history.filter(F.col("user_id").cast("string") == str(user_id)).select(USER_COL)
+    recs = recommend_top_n(model, user, top_n)
+    return route_recommendations(request, history, recs, safe, trending, top_n)
+
+
 def select_model(
     train: DataFrame,
     test: DataFrame,

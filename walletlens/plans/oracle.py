@@ -337,8 +337,12 @@ FINAL: dict[str, str] = {
         select address, symbol, name, cast(decimals as varchar) as decimals, total_supply
         from tokens""",
     "write_table": "select * from raw_contracts",
+    "catalog_table": "select * from raw_contracts",
     "clean_tokens": "select * from clean_tokens",
     "normalize_transfers": _rounded_columns(_TRANSFER_COLUMNS, "adjusted_value", "normalized"),
+    "processed_transfers": _rounded_columns(
+        "from_address, to_address, token_address", "adjusted_value", "normalized"
+    ),
     "signed_flows": _rounded_columns(
         "user_address, token_address, block_timestamp", "value", "flows"
     ),

@@ -6,6 +6,7 @@ the small side, are stored in the shared folder; the others stay lazy.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -15,6 +16,9 @@ from walletlens.functions.shared_storage import written
 from walletlens.operators import clean, features, gas, graph, matrix, portfolio, route
 from walletlens.sources.tables import write_table
 
+# A raw table, or a function that opens it when a stage first needs it.
+Source = DataFrame | Callable[[], DataFrame]
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -38,18 +42,40 @@ class WalletPipeline:
 
     def __init__(
         self,
-        transfers: DataFrame,
-        tokens: DataFrame,
-        contracts: DataFrame,
-        transactions: DataFrame,
+        transfers: Source,
+        tokens: Source,
+        contracts: Source,
+        transactions: Source,
         settings: Settings | None = None,
     ):
-        self.transfers = transfers
-        self.raw_tokens = tokens
-        self.raw_contracts = contracts
-        self.transactions = transactions
+        self._sources = {
+            "transfers": transfers,
+            "tokens": tokens,
+            "contracts": contracts,
+            "transactions": transactions,
+        }
         self.settings = settings or Settings()
 
+    def _source(self, name: str) -> DataFrame:
+        source = self._sources[name]
+        return source() if callable(source) else source
+
+    @cached_property
+    def transfers(self) -> DataFrame:
+        return self._source("transfers")
+
+    @cached_property
+    def raw_tokens(self) -> DataFrame:
+        return self._source("tokens")
+
+    @cached_property
+    def raw_contracts(self) -> DataFrame:
+        return self._source("contracts")
+
+    @cached_property
+    def transactions(self) -> DataFrame:
+        return self._source("transactions")
+
     # Clean and portfolio ---------------------------------------------------------------
 
     @cached_property

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -122,6 +123,13 @@ def write_table(views: SampleViews) -> DataFrame:
     return tables.read_slices(views.spark, [path], contracts.schema)
 
 
+@view_query
+def catalog_table(views: SampleViews) -> DataFrame:
+    path = scratch_path(views.spark, "catalog")
+    name = f"contracts_{uuid.uuid4().hex}"
+    return tables.save_catalog_table(views.raw_contracts(), name, path=path)
+
+
 # Clean and portfolio ---------------------------------------------------------------------
 
 
@@ -135,6 +143,11 @@ def normalize_transfers(stages: WalletPipeline) -> DataFrame:
     return stages.normalized
 
 
+@stage_query
+def processed_transfers(stages: WalletPipeline) -> DataFrame:
+    return stages.processed
+
+
 @stage_query
 def signed_flows(stages: WalletPipeline) -> DataFrame:
     return stages.flows
@@ -498,8 +511,7 @@ def recommend_top_n(stages: WalletPipeline) -> DataFrame:
 @stage_query
 def als_ranking_metrics(stages: WalletPipeline) -> DataFrame:
     train, test = stages.split
-    recs = recommend.recommend_top_n(_default_model(train), test, max(evaluate.CUTOFFS))
-    return evaluate.ranking_metrics(recs, test)
+    return recommend.evaluate_model(_default_model(train), test)
 
 
 @view_query

@@ -34,8 +34,12 @@ class SampleViews:
         self.spark = spark
         self.sf_dir = sf_dir
 
+        self._read: dict[str, DataFrame] = {}
+
     def _table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._read[name]
 
     def tokens(self) -> DataFrame:
         return self._table("part").select(
@@ -113,5 +117,5 @@ class SampleViews:
 
     def pipeline(self, settings: Settings = SAMPLE_SETTINGS) -> WalletPipeline:
         return WalletPipeline(
-            self.transfers(), self.tokens(), self.raw_contracts(), self.transactions(), settings
+            self.transfers, self.tokens, self.raw_contracts, self.transactions, settings
         )

@@ -69,7 +69,13 @@ def write_table(
     writer.save(path)
 
 
-def save_catalog_table(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
-    """Overwrite a managed table and return it as read back from the catalog."""
-    df.write.mode("overwrite").format(fmt).saveAsTable(name)
+def save_catalog_table(
+    df: DataFrame, name: str, fmt: str = "parquet", path: str | None = None
+) -> DataFrame:
+    """Overwrite a catalog table and return it as read back from the catalog.
+
+    Without ``path`` the catalog manages the files. ``fmt`` takes any installed format.
+    """
+    writer = df.write.mode("overwrite").format(fmt)
+    (writer if path is None else writer.option("path", path)).saveAsTable(name)
     return df.sparkSession.table(name)
