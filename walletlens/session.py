@@ -15,10 +15,23 @@ RUNTIME_CONF = {
 }
 
 
+# Asset lists and maps of this size are cheaper to send than to shuffle all transfers for.
+# Stored stages are compared with it by their measured size.
+BROADCAST_LIMIT = "100MB"
+_BROADCAST_KEY = "spark.sql.autoBroadcastJoinThreshold"
+_SPARK_DEFAULT = "10485760b"
+
+
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the plans rely on; sizes stay the cluster's own choice."""
+    """Apply the runtime settings the plans rely on.
+
+    Partition numbers and sizes stay the cluster's choice, and so does a broadcast limit it
+    has set itself.
+    """
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    if spark.conf.get(_BROADCAST_KEY) == _SPARK_DEFAULT:
+        spark.conf.set(_BROADCAST_KEY, BROADCAST_LIMIT)
     return spark
 
 
