@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from walletlens.functions.shared_storage import written
@@ -21,6 +21,8 @@ MID_UPPER = 1.2
 
 # Below this out-degree a wallet is never treated as a hub.
 MIN_HUB_DEGREE = 10_000
+# Edges worth a task of their own; smaller graphs use fewer partitions than configured.
+EDGES_PER_PARTITION = 100_000
 # Rounds between two stored states; bounds the plan and what a lost executor costs.
 ROUNDS_PER_STAGE = 3
 
@@ -61,6 +63,13 @@ def out_degrees(edge_list: DataFrame) -> DataFrame:
     return edge_list.groupBy("src").agg(F.count(F.lit(1)).alias("out_degree"))
 
 
+def _graph_partitions(spark: SparkSession, n_edges: int) -> int:
+    """The configured number of shuffle partitions, or fewer for a small graph."""
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    useful = max(spark.sparkContext.defaultParallelism, -(-n_edges // EDGES_PER_PARTITION))
+    return min(configured, useful)
+
+
 def pagerank(
     edge_list: DataFrame,
     iterations: int = ITERATIONS,
@@ -78,9 +87,9 @@ def pagerank(
     such hub per partition can exist, so their ranks are broadcast to their edges, which
     stay spread as stored.
     """
-    spark = edge_list.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     stored_edges = written(edge_list.select("src", "dst"), "edges")
+    n_edges = stored_edges.count()
+    partitions = _graph_partitions(stored_edges.sparkSession, n_edges)
     nodes = (
         _ends(stored_edges)
         .groupBy("id")
@@ -89,11 +98,8 @@ def pagerank(
         .sortWithinPartitions("id")
         .persist()
     )
-    size = nodes.agg(
-        F.sum("out_degree").alias("edges"), F.max("out_degree").alias("widest")
-    ).first()
-    hub_degree = max(min_hub_degree, (size["edges"] or 0) // partitions)
-    has_hubs = (size["widest"] or 0) > hub_degree
+    hub_degree = max(min_hub_degree, n_edges // partitions)
+    has_hubs = (nodes.agg(F.max("out_degree")).first()[0] or 0) > hub_degree
     is_hub = F.col("out_degree") > hub_degree
 
     spread_edges = stored_edges
