@@ -4,9 +4,12 @@ import datetime as dt
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from walletlens import session
+from walletlens.operators import evaluate, matrix
 from walletlens.plans.ingest import ingest_slice
+from walletlens.plans.queries import popularity_recs
 from walletlens.plans.sample_views import SampleViews
 from walletlens.sources.tables import read_slices
 
@@ -49,3 +52,27 @@ def test_export(spark, tmp_path, n_files):
     assert read["user_map"].count() == 150 and read["ranks"].count() == 150
     assert read["wallet_sample"].columns == ["id", "pagerank", "tier"]
     assert read["indexed_transfers"].count() == read["processed_transfers"].count() == 2684
+
+
+def test_properties(spark):
+    stages = SampleViews(spark, FOLDER).pipeline()
+    # What one wallet gains another loses.
+    per_token = stages.flows.groupBy("token_address").agg(F.sum("value").alias("net"))
+    assert per_token.filter("net <> 0").count() == 0
+    # Raising either threshold never adds anything.
+    grid = {
+        (r.min_tx, r.min_holders): (r.entries, r.users, r.tokens)
+        for r in matrix.threshold_grid(stages.stored_scored, [1, 29, 33, 36], [1, 8, 11, 16]).collect()
+    }
+    assert len(grid) == 16
+    for (tx, holders), sizes in grid.items():
+        for (other_tx, other_holders), smaller in grid.items():
+            if other_tx >= tx and other_holders >= holders:
+                assert all(a >= b for a, b in zip(sizes, smaller))
+    ranks = stages.ranks.agg(F.min("pagerank"), F.sum("pagerank"), F.count("id")).first()
+    assert ranks[0] >= 0.15 and ranks[1] == pytest.approx(ranks[2])  # no sinks in this graph
+    metrics = evaluate.ranking_metrics(
+        evaluate.rank_recs(popularity_recs(stages)), stages.split[1]
+    ).collect()
+    for row in metrics:
+        assert all(0 <= row[name] <= 1 for name in ("precision", "recall", "ndcg", "hit_rate"))

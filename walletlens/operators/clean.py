@@ -36,9 +36,7 @@ def normalize_transfers(transfers: DataFrame, tokens: DataFrame) -> DataFrame:
 
     Amounts that do not fit ``decimal(38,0)`` become NULL and the row stays.
     """
-    assets = tokens.select(
-        F.col("address").alias("_asset"), "name", "symbol", F.col("decimals").alias("decimals")
-    )
+    assets = tokens.select(F.col("address").alias("_asset"), "name", "symbol", "decimals")
     amount = try_decimal("value").cast("double")
     return transfers.join(assets, F.lower("token_address") == F.col("_asset"), "inner").select(
         "transaction_hash",

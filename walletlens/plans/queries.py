@@ -11,10 +11,10 @@ from pyspark.sql.types import DoubleType
 
 from walletlens.functions.shared_storage import scratch_path
 from walletlens.operators import (
+    distribution,
     evaluate,
     features,
     gas,
-    distribution,
     graph,
     matrix,
     portfolio,

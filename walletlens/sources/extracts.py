@@ -1,7 +1,8 @@
 """Date-sliced extracts of the raw chain tables.
 
 Dates are half-open ranges and are compared with the raw timestamp column, so they reach
-the Parquet scan as pushed filters and prune date partitions.
+the Parquet scan as pushed filters. A day begins at midnight in the session's zone, which
+``session.tune`` sets to UTC.
 """
 
 from __future__ import annotations
