@@ -13,6 +13,7 @@ from walletlens.operators.matrix import TOKEN_THRESHOLDS, USER_THRESHOLDS
 from walletlens.operators.route import TOP_N
 from walletlens.plans.queries import (
     CONTRACT_RANGE,
+    DEFAULT_SETTING,
     LOW_K,
     MID_K,
     POPULAR,
@@ -510,6 +511,13 @@ FINAL: dict[str, str] = {
         select token_id_int, token_id, num_holders, cast(total_volume as bigint) as total_volume,
                round(momentum_score, 6) as momentum_score
         from trending""",
+    # Of a fitted model SQL can tell who has factors and how many.
+    "train_als": f"""
+        select distinct user_id_int as id, {DEFAULT_SETTING.rank} as factors from sides
+        where side = 'train'""",
+    "save_model": f"""
+        select distinct token_id_int as id, {DEFAULT_SETTING.rank} as factors from sides
+        where side = 'train'""",
     "route_recommendations": f"""
         select user_id, risk_mode, cast(rank as int) as rank, token_id_int,
                round(score, 6) as score, source
