@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from walletlens.llm import (
     chat_format,
+    decontaminate,
     html_extract,
+    jaccard_join,
     mixing,
     quality_classifier,
     quality_rules,
@@ -40,11 +42,19 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.round_trip_report(rows.unionByName(tricky))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.plan_mix(table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, sf_dir, "pages"))
 
@@ -61,7 +71,9 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_chat_format": op3_chat_format,
+    "op4_decontaminate": op4_decontaminate,
     "op5_mixing": op5_mixing,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_html_extract": op8_html_extract,
     "op9_token_output": op9_token_output,
     "op10_secret_scan": op10_secret_scan,
