@@ -15,6 +15,7 @@ from walletlens.llm import (
     quality_classifier,
     quality_rules,
     secret_scan,
+    suffix_dedup,
     token_output,
 )
 from walletlens.llm.common import table
@@ -51,6 +52,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_report(table(spark, sf_dir, "documents"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -73,6 +78,7 @@ QUERIES = {
     "op3_chat_format": op3_chat_format,
     "op4_decontaminate": op4_decontaminate,
     "op5_mixing": op5_mixing,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_html_extract": op8_html_extract,
     "op9_token_output": op9_token_output,
