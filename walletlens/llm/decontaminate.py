@@ -125,26 +125,26 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     return table, total
 
 
-def word_weights(frequency: np.ndarray, n_docs: int) -> np.ndarray:
-    """Inverse document frequency, from 0 for words in ``COMMON_SHARE`` of all documents or more."""
-    return np.maximum(0.0, np.log((1 + n_docs) * COMMON_SHARE / (1 + frequency)))
+def word_weights(frequency: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Inverse document frequency: cut to 0 for words in ``COMMON_SHARE`` of all documents or more, and uncut."""
+    whole = np.log((1 + n_docs) / (1 + frequency)) + 0.01
+    return np.maximum(0.0, whole + np.log(COMMON_SHARE)), whole
 
 
-def _row_of(words: list[bytes], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    slots, counts = np.unique(np.array([slot_of(w) for w in words], np.int64), return_counts=True)
-    slots, counts = slots[idf[slots] > 0], counts[idf[slots] > 0]
-    return slots, counts * idf[slots]
+def _times_gram(passages: DataFrame, basis: np.ndarray, columns: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """A^T (A basis) for the matrix A of weighted passages of length 1, summed over Spark's tasks.
 
-
-def _times_gram(passages: DataFrame, basis: np.ndarray, columns: np.ndarray) -> np.ndarray:
-    """A^T (A basis) for the passage matrix A, summed over Spark's tasks; ``columns``: slot -> row of ``basis``."""
+    ``columns``: slot -> row of ``basis``, or -1; ``weights``: slot -> weight.
+    """
 
     def run(batches):
         total = np.zeros_like(basis)
         for batch in batches:
-            for slots, weights in zip(batch.column("slots").to_pylist(), batch.column("weights").to_pylist()):
-                at = columns[np.frombuffer(slots, np.int64)]
-                a = np.frombuffer(weights, np.float64)
+            for slots, counts in zip(batch.column("slots").to_pylist(), batch.column("counts").to_pylist()):
+                slots = np.frombuffer(slots, np.int64)
+                known = columns[slots] >= 0
+                at, a = columns[slots][known], np.frombuffer(counts, np.int64)[known] * weights[slots[known]]
+                a = a / (np.linalg.norm(a) or 1.0)
                 total[at] += a[:, None] * (a @ basis[at])[None, :]
         used = np.flatnonzero(total.any(axis=1))
         yield {"at": used, "row": [total[i].tobytes() for i in used]}
@@ -164,14 +164,16 @@ def _times_gram(passages: DataFrame, basis: np.ndarray, columns: np.ndarray) ->
     return out
 
 
-def latent_space(passages: DataFrame, columns: np.ndarray, n_columns: int, seed: int = 7) -> np.ndarray:
+def latent_space(
+    passages: DataFrame, columns: np.ndarray, weights: np.ndarray, n_columns: int, seed: int = 7
+) -> np.ndarray:
     """Right singular vectors (used slots x dimensions) of the passage matrix, by a randomised range finder."""
     rank = min(DIMENSIONS + OVERSAMPLED, n_columns)
     basis = np.random.default_rng(seed).standard_normal((n_columns, rank))
     for _ in range(1 + POWER_ROUNDS):
-        basis, _ = np.linalg.qr(_times_gram(passages, basis, columns))
+        basis, _ = np.linalg.qr(_times_gram(passages, basis, columns, weights))
     # basis^T A^T A basis is small: its eigenvectors turn the basis into singular vectors.
-    values, vectors = np.linalg.eigh(basis.T @ _times_gram(passages, basis, columns))
+    values, vectors = np.linalg.eigh(basis.T @ _times_gram(passages, basis, columns, weights))
     return basis @ vectors[:, np.argsort(-values)[:DIMENSIONS]]
 
 
@@ -257,7 +259,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     included. Other columns are ignored; empty tables give no rows.
     """
     frequency, n_docs = document_frequencies(docs)
-    idf = word_weights(frequency, n_docs)
+    cut_weights, whole_weights = word_weights(frequency, n_docs)
 
     def cut(batches):
         for batch in batches:
@@ -265,33 +267,39 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             for item, text in zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist()):
                 parts = passages_of(text)
                 for k, words in enumerate(parts):
-                    slots, weights = _row_of(words, idf)
-                    last = k == len(parts) - 1
-                    rows.append(
-                        (item, k, b" ".join(words), b" ".join(answer_of(text)) if last else b"",
-                         slots.tobytes(), (weights / (np.linalg.norm(weights) or 1.0)).tobytes())
-                    )
-            names = ("item_id", "k", "words", "answer", "slots", "weights")
+                    slots, counts = np.unique(np.array([slot_of(w) for w in words], np.int64), return_counts=True)
+                    answer = answer_of(text) if k == len(parts) - 1 else []
+                    rows.append((item, k, b" ".join(words), b" ".join(answer), slots.tobytes(), counts.tobytes()))
+            names = ("item_id", "k", "words", "answer", "slots", "counts")
             yield {name: [row[i] for row in rows] for i, name in enumerate(names)}
 
-    schema = "item_id long, k int, words binary, answer binary, slots binary, weights binary"
+    schema = "item_id long, k int, words binary, answer binary, slots binary, counts binary"
     passages = written(
         map_batches(benchmark.select(F.col("item_id").cast("long"), "text").distinct(), cut, schema), "passages"
     )
 
     def used_slots(batches):
+        """Slots of rare words; all slots of a passage that has few of them, as one copied widely has."""
         for batch in batches:
-            found = [np.frombuffer(s, np.int64) for s in batch.column("slots").to_pylist()]
-            yield {"slot": np.unique(np.concatenate(found)) if found else []}
-
-    slots = sorted(r["slot"] for r in map_batches(passages.select("slots"), used_slots, "slot int").distinct().collect())
+            for slots in batch.column("slots").to_pylist():
+                slots = np.frombuffer(slots, np.int64)
+                rare = cut_weights[slots] > 0
+                everywhere = 3 * rare.sum() < len(slots)
+                slots = slots if everywhere else slots[rare]
+                yield {"slot": slots, "everywhere": np.full(len(slots), everywhere)}
+
+    used = map_batches(passages.select("slots"), used_slots, "slot int, everywhere boolean")
+    rows = used.groupBy("slot").agg(F.max("everywhere").alias("everywhere")).orderBy("slot").collect()
+    slots = [r["slot"] for r in rows]
+    weights = cut_weights.copy()
+    widely = [r["slot"] for r in rows if r["everywhere"]]
+    weights[widely] = whole_weights[widely]
     columns = np.full(SLOTS, -1, np.int32)
-    slots = [s for s in slots if idf[s] > 0]
     columns[slots] = np.arange(len(slots))
     if not slots:
         return _search(docs.limit(0), LatentIndex(columns, *[np.zeros((0, 1), np.float32)] * 2, np.zeros(0), []))
-    space = latent_space(passages.select("slots", "weights"), columns, len(slots))
-    word_vectors = (space * idf[slots][:, None]).astype(np.float32)
+    space = latent_space(passages.select("slots", "counts"), columns, weights, len(slots))
+    word_vectors = (space * weights[slots][:, None]).astype(np.float32)
 
     found = None
     for block in _blocks(passages.select("item_id", "words", "answer").orderBy("item_id", "k")):
