@@ -63,18 +63,30 @@ def _is_boilerplate(name: str, rest: str, in_article: bool) -> bool:
 
 
 def page_lines(html: str) -> tuple[list[str], list[bool]]:
-    """Text of each line (references decoded, white space made one space), and whether an article holds it."""
+    """Text of each line (references decoded, white space made one space), and whether an article holds it.
+
+    Outside articles a line of links alone is a menu entry and leaves an empty line.
+    """
     lines: list[str] = []
     inside: list[bool] = []
     parts: list[str] = []
     skipped: list[str] = []  # open elements from the boilerplate element down
     depth = 0  # open containers
+    in_link = plain = False  # inside <a>; the line has text outside links
+
+    def add(text: str) -> None:
+        nonlocal plain
+        parts.append(text)
+        plain = plain or not in_link and not text.isspace()
 
     def close() -> None:
+        nonlocal plain
         text = " ".join(entities.unescape("".join(parts)).split())
+        if text:
+            lines.append(text if plain or depth else "")
+            inside.append(depth > 0)
         parts.clear()
-        lines.append(text)
-        inside.append(depth > 0)
+        plain = False
 
     def barrier() -> None:
         close()
@@ -84,7 +96,7 @@ def page_lines(html: str) -> tuple[list[str], list[bool]]:
     at = 0
     for m in _MARKUP.finditer(html):
         if not skipped and m.start() > at:
-            parts.append(html[at : m.start()])
+            add(html[at : m.start()])
         at = m.end()
         name = m.group("name")
         if name is None:
@@ -115,11 +127,13 @@ def page_lines(html: str) -> tuple[list[str], list[bool]]:
             barrier()
             if name not in VOID and not m.group("rest").endswith("/"):
                 skipped.append(name)
+        elif name == "a":
+            in_link = not ends
         elif name not in INLINE:
             close()
     if not skipped and at < len(html):
         rest = html[at:]
-        parts.append(re.sub(r"<[!/a-zA-Z][^>]*\Z", "", rest))  # a tag cut off by the end of the page
+        add(re.sub(r"<[!/a-zA-Z][^>]*\Z", "", rest))  # a tag cut off by the end of the page
     close()
     return lines, inside
 

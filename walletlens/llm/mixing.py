@@ -28,6 +28,17 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def seeded(*parts) -> Column:
+    """A number from 0 up to 2 ** 60 by md5, the same in every engine; parts are joined as text, null as empty."""
+    text = F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
+def place_of(seed: int) -> Column:
+    """Where a row lies in the seeded order: from its id and text, so reruns and repeated rows agree."""
+    return seeded(F.lit(seed), F.col("doc_id"), F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+
+
 def source_targets(sources: DataFrame, weights=WEIGHTS, most_repeats: int = MOST_REPEATS) -> DataFrame:
     """``sources`` (source, source_size) with ``weight``, ``target`` and the total.
 
@@ -104,9 +115,9 @@ def plan_mix(
     its own; repeated rows are documents of their own, side by side; equal seeds give equal results
     whatever the partitioning. An empty table gives no rows.
     """
-    # The order key comes from the id and the text, so reruns and repeated rows agree.
-    place = F.xxhash64(F.lit(seed), "doc_id", "text")
-    sized = written(docs.select("doc_id", "source", words(F.col("text")).alias("size"), place.alias("place")), "sizes")
+    sized = written(
+        docs.select("doc_id", "source", words(F.col("text")).alias("size"), place_of(seed).alias("place")), "sizes"
+    )
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sources, weights, most_repeats)
     blocks = F.ceil(F.col("source_size") / block_words)
@@ -140,7 +151,7 @@ def plan_mix(
     )
     dealt = apportion(shards, ["source"], "share", "seats", "most", ["shard"])
     n = F.greatest(F.col("blocks"), F.lit(1))
-    start = F.pmod(F.xxhash64(F.lit(seed), "source", "shard"), n)
+    start = F.pmod(seeded(F.lit(seed), F.col("source"), F.col("shard")), n)
     shard_plan = written(
         dealt.select(
             "source", "shard", "shard_size",
@@ -179,7 +190,7 @@ def mixed_documents(docs: DataFrame, seed: int = 7, **settings) -> DataFrame:
     # Repeated rows share a place: number them on both sides to pair them one to one.
     numbered = Window.partitionBy("place", "doc_id").orderBy("from1", "to1", "from2", "to2")
     plan = plan.withColumn("copy", F.row_number().over(numbered))
-    keyed = docs.withColumn("mix_place", F.xxhash64(F.lit(seed), "doc_id", "text"))
+    keyed = docs.withColumn("mix_place", place_of(seed))
     copies = Window.partitionBy("mix_place", "doc_id").orderBy("mix_place")
     keyed = keyed.withColumn("mix_copy", F.row_number().over(copies))
     same = (
