@@ -13,6 +13,8 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 from check_oracle import compare, connect  # noqa: E402
 
 import __spark_entry__ as entry_points  # noqa: E402
+from walletlens.plans import oracle  # noqa: E402
+from walletlens.plans.queries import QUERIES  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 MODEL_QUERIES = {"select_model", "recommend_top_n", "als_ranking_metrics", "route_als"}
@@ -26,7 +28,8 @@ def duck():
 
 
 def test_only_models_lack_sql():
-    assert set(entry_points.queries()) - set(entry_points.oracle_sql()) == MODEL_QUERIES
+    assert set(QUERIES) - set(oracle.oracle_sql()) == MODEL_QUERIES
+    assert set(QUERIES) <= set(entry_points.queries())
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
@@ -48,11 +51,11 @@ def check_plan(result):
         assert "_range" in window or "user_id_int" in window
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
 def test_query_equals_sql(spark, duck, without_broadcast, name):
-    result = entry_points.queries()[name](spark, FOLDER)
+    result = QUERIES[name](spark, FOLDER)
     check_plan(result)
-    verdict = compare(result, duck, entry_points.oracle_sql()[name])
+    verdict = compare(result, duck, oracle.oracle_sql()[name])
     assert verdict.startswith("ok"), verdict
 
 
