@@ -93,3 +93,25 @@ def test_samples(spark):
         (0, "top"), (1, "top"), (2, "mid"), (3, "mid"),
     ]
     assert graph.stratified_sample(ranks).count() == 8
+
+
+def test_pagerank_shares_what_sinks_lose(spark):
+    pairs = [(1, 2), (1, 3), (2, 3), (4, 1)]
+    nodes = {n for pair in pairs for n in pair}
+    degree = {n: sum(1 for s, _ in pairs if s == n) for n in nodes}
+    rank = dict.fromkeys(nodes, 1.0)
+    for _ in range(4):
+        inflow = dict.fromkeys(nodes, sum(rank[n] for n in nodes if not degree[n]) / len(nodes))
+        for src, dst in pairs:
+            inflow[dst] += rank[src] / degree[src]
+        rank = {n: 0.15 + 0.85 * inflow[n] for n in nodes}
+    got = dict(rows(graph.pagerank(edge_list(spark, pairs), iterations=4, redistribute_sinks=True)))
+    assert got == pytest.approx(rank)
+    assert sum(got.values()) == pytest.approx(4)
+
+
+def test_pagerank_keeps_the_callers_settings(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    graph.pagerank(edge_list(spark, [(1, 2), (2, 1)]))
+    assert spark.conf.get(key) == before

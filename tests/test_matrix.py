@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 import random
 
 from conftest import rows
@@ -128,3 +129,27 @@ def test_scores_and_grid_match_brute_force(spark):
     assert shares == sorted(shares)
     kept = matrix.filter_pairs(scored, 10, 5)
     assert kept.count() == sum(1 for r in want if r[2] >= 10 and r[3] >= 5)
+
+
+def test_grid_with_totals_that_differ_by_pair(spark):
+    random.seed(4)
+    data = sorted(
+        {(f"u{random.randrange(30)}", f"t{random.randrange(12)}"): None for _ in range(200)}
+    )
+    rows_in = [(u, t, random.randrange(1, 80), random.randrange(1, 80)) for u, t in data]
+    rows_in += [("one", "a", 60, 12), ("one", "b", 12, 60)]
+    scored = spark.createDataFrame(
+        rows_in, "user_address string, token_address string, total_tx long, num_holders long"
+    )
+    got = {(r.min_tx, r.min_holders): (r.entries, r.users, r.tokens) for r in matrix.threshold_grid(scored).collect()}
+    for t in (10, 20, 50):
+        for h in (10, 20, 50):
+            cell = [r for r in rows_in if r[2] >= t and r[3] >= h]
+            assert got[t, h] == (len(cell), len({r[0] for r in cell}), len({r[1] for r in cell}))
+    with pytest.raises(ValueError):
+        matrix.threshold_grid(scored, range(1, 9), range(1, 9))
+
+
+def test_pair_counts_come_along(spark):
+    held = spark.createDataFrame([("u", "t", 3), ("u", "s", 4)], "user_address string, token_address string, tx_count long")
+    assert rows(matrix.score_pairs(held, pair_counts=True)) == [("u", "s", 4, 7, 1), ("u", "t", 3, 7, 1)]

@@ -93,3 +93,24 @@ def test_labels_and_exchange_cut(spark):
     assert rows(portfolio.user_activity(wider)) == [("a", 1, 4999, 1), ("b", 2, 5000, 2)]
     ordered = [r.user_address for r in portfolio.user_activity(wider, ordered=True).collect()]
     assert ordered == ["b", "a"]
+
+
+def test_fractions_that_come_to_nothing(spark):
+    moves = [("0xm", "0xw", "100000000000000000"), ("0xm", "0xw", "200000000000000000"), ("0xw", "0xm", "300000000000000000"),
+             ("0xm", "0xk", "100000000000000000")]
+    raw = spark.createDataFrame([("0xt", a, b, v, str(i), DAY) for i, (a, b, v) in enumerate(moves)], TRANSFER)
+    cleaned = clean.clean_tokens(tokens(spark, ("0xt", "18")))
+    for partitions in (1, 64):
+        exact = clean.normalize_transfers(raw.repartition(partitions), cleaned, keep_amount=True)
+        held = portfolio.portfolios(portfolio.signed_flows(exact))
+        assert rows(held, "user_address", "balance", "tx_count") == [("0xk", 0.1, 1)]
+
+
+def test_sums_beyond_the_decimal_fall_back(spark):
+    raw = spark.createDataFrame(
+        [("0xt", "0xa", "0xb", "9" * 38, str(i), DAY) for i in range(3)], TRANSFER
+    )
+    exact = clean.normalize_transfers(raw, clean.clean_tokens(tokens(spark, ("0xt", "0"))), keep_amount=True)
+    held = portfolio.portfolios(portfolio.signed_flows(exact)).collect()
+    assert [(r.user_address, r.tx_count) for r in held] == [("0xb", 3)]
+    assert abs(held[0].balance / 3e38 - 1) < 1e-9

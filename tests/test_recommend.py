@@ -194,3 +194,43 @@ def test_single_wallet_router(spark):
     assert ask("12", "daring") == ({"als"}, 3)
     assert ask("0xNEW") == ({"safe"}, 3)
     assert ask("0xNEW", "daring") == ({"trending"}, 3)
+
+
+def test_blocks_follow_the_ids_alone(spark):
+    ids = spark.range(50_000).select(
+        F.col("id").cast("int").alias("user_id_int"), (F.col("id") % 30_000).cast("int").alias("token_id_int")
+    )
+    assert recommend.block_counts(ids) == (8, 2)
+    assert recommend.block_counts(ids.filter("id < 3")) == (3, 2)
+    more = spark.range(200_000).select(F.col("id").alias("user_id_int"), F.lit(1).alias("token_id_int"))
+    assert recommend.block_counts(more) == (10, 1)
+
+
+def test_model_does_not_depend_on_partitions(spark):
+    train = blocks(spark)
+    lists = [
+        rows(recommend.recommend_top_n(recommend.train_als(part, 4, 0.1, 15.0, 3), train, 5))
+        for part in (train.repartition(1), train.repartition(13))
+    ]
+    assert lists[0] == lists[1]
+
+
+def test_unseen_items_only(spark):
+    train = blocks(spark)
+    model = recommend.train_als(train, 4, 0.1, 15.0, 3)
+    held = {(r.user_id_int, r.token_id_int) for r in train.collect()}
+    recs = recommend.recommend_top_n(model, train, 6, exclude_seen=train).collect()
+    assert recs and not held & {(r.user_id_int, r.token_id_int) for r in recs}
+    full = recommend.recommend_top_n(model, train, 40).collect()
+    want = {}
+    for r in sorted(full, key=lambda r: (r.user_id_int, r.rank)):
+        if (r.user_id_int, r.token_id_int) not in held:
+            want.setdefault(r.user_id_int, []).append(r.token_id_int)
+    for user, items in want.items():
+        assert [r.token_id_int for r in sorted(recs, key=lambda r: r.rank) if r.user_id_int == user] == items[:6]
+
+
+def test_only_exact_ids_are_known(spark):
+    history = spark.createDataFrame([(7, 1), (7, 1), (8, 2)], "user_id long, user_id_int int")
+    asked = spark.createDataFrame([("7",), ("007",), ("x",), (None,)], "user_id string")
+    assert rows(route.known_wallets(asked, history)) == [("7", 1)]

@@ -41,6 +41,16 @@ def written(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a table from ``written`` that no later job reads. What it served must be stored by now."""
+    files = table.inputFiles()
+    if files:
+        spark = table.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        if folder.getParent().getParent().getName() == "walletlens":
+            folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def broadcast_if_at_most(df: DataFrame, max_rows: int) -> DataFrame:
     """Write ``df``; hint a broadcast only if the stored row count is within ``max_rows``.
 

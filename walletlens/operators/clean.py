@@ -31,13 +31,18 @@ def clean_tokens(tokens: DataFrame, max_decimals: int = MAX_DECIMALS) -> DataFra
     )
 
 
-def normalize_transfers(transfers: DataFrame, tokens: DataFrame) -> DataFrame:
+def normalize_transfers(
+    transfers: DataFrame, tokens: DataFrame, keep_amount: bool = False
+) -> DataFrame:
     """Transfers of cleaned assets with the amount scaled by the asset's decimals.
 
-    Amounts that do not fit ``decimal(38,0)`` become NULL and the row stays.
+    Amounts that do not fit ``decimal(38,0)`` become NULL and the row stays. ``keep_amount``
+    carries the exact integer along as ``amount``, so that balances can be decided on it.
     """
     assets = tokens.select(F.col("address").alias("_asset"), "name", "symbol", "decimals")
-    amount = try_decimal("value").cast("double")
+    exact = try_decimal("value")
+    amount = exact.cast("double")
+    kept = [exact.alias("amount")] if keep_amount else []
     return transfers.join(assets, F.lower("token_address") == F.col("_asset"), "inner").select(
         "transaction_hash",
         "from_address",
@@ -48,6 +53,7 @@ def normalize_transfers(transfers: DataFrame, tokens: DataFrame) -> DataFrame:
         "name",
         "symbol",
         "decimals",
+        *kept,
     )
 
 

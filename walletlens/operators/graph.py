@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from walletlens.functions.shared_storage import written
+from walletlens.session import tune
 
 # Fixed values.
 ITERATIONS = 5
@@ -21,7 +22,7 @@ MID_UPPER = 1.2
 
 # Below this out-degree a wallet is never treated as a hub.
 MIN_HUB_DEGREE = 10_000
-# Edges worth a task of their own; smaller graphs use fewer partitions than configured.
+# Edges of a partition: the graph alone decides how many there are.
 EDGES_PER_PARTITION = 100_000
 # Rounds between two stored states; bounds the plan and what a lost executor costs.
 ROUNDS_PER_STAGE = 3
@@ -63,11 +64,18 @@ def out_degrees(edge_list: DataFrame) -> DataFrame:
     return edge_list.groupBy("src").agg(F.count(F.lit(1)).alias("out_degree"))
 
 
-def _graph_partitions(spark: SparkSession, n_edges: int) -> int:
-    """The configured number of shuffle partitions, or fewer for a small graph."""
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    useful = max(spark.sparkContext.defaultParallelism, -(-n_edges // EDGES_PER_PARTITION))
-    return min(configured, useful)
+def _graph_session(spark: SparkSession, n_edges: int) -> SparkSession:
+    """A session whose shuffles have the graph's number of partitions, so that sums meet edges unmoved.
+
+    The caller's session keeps its settings.
+    """
+    partitions = max(1, -(-n_edges // EDGES_PER_PARTITION))
+    own = spark.newSession()
+    tune(own)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    own.conf.set(key, spark.conf.get(key))
+    own.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return own
 
 
 def pagerank(
@@ -76,67 +84,81 @@ def pagerank(
     damping: float = DAMPING,
     min_hub_degree: int = MIN_HUB_DEGREE,
     rounds_per_stage: int = ROUNDS_PER_STAGE,
+    redistribute_sinks: bool = False,
 ) -> DataFrame:
     """Fixed rounds of ``1 - damping + damping * sum(rank / out_degree)``. Runs jobs.
 
-    Wallets without an outgoing edge lose their rank; nothing is normalised.
+    Wallets without an outgoing edge lose their rank and nothing is normalised, unless
+    ``redistribute_sinks`` shares what they lose among all wallets.
 
     Edges are partitioned and sorted by sender once and kept; wallets are partitioned by id
     the same way, so a round shuffles only the contributions, combined per receiver first.
     A sender with more edges than an average partition would overload its task: at most one
     such hub per partition can exist, so their ranks are broadcast to their edges, which
-    stay spread as stored.
+    stay spread as stored. A graph without hubs has an empty table of them in the same plan.
     """
-    stored_edges = written(edge_list.select("src", "dst"), "edges")
-    n_edges = stored_edges.count()
-    partitions = _graph_partitions(stored_edges.sparkSession, n_edges)
-    nodes = (
-        _ends(stored_edges)
-        .groupBy("id")
-        .agg(F.sum("out").alias("out_degree"))
-        .repartition(partitions, "id")
-        .sortWithinPartitions("id")
-        .persist()
+    spark = edge_list.sparkSession
+    stored = written(edge_list.select("src", "dst"), "edges")
+    n_edges = stored.count()
+    own = _graph_session(spark, n_edges)
+    stored_edges = own.read.schema(stored.schema).parquet(*stored.inputFiles()) if n_edges else (
+        own.createDataFrame([], stored.schema)
     )
-    hub_degree = max(min_hub_degree, n_edges // partitions)
-    has_hubs = (nodes.agg(F.max("out_degree")).first()[0] or 0) > hub_degree
-    is_hub = F.col("out_degree") > hub_degree
-
-    spread_edges = stored_edges
-    if has_hubs:
+    partitions = int(own.conf.get("spark.sql.shuffle.partitions"))
+    kept = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df.persist())
+        return df
+
+    try:
+        nodes = keep(
+            _ends(stored_edges)
+            .groupBy("id")
+            .agg(F.sum("out").alias("out_degree"))
+            .repartition(partitions, "id")
+            .sortWithinPartitions("id")
+        )
+        is_hub = F.col("out_degree") > max(min_hub_degree, n_edges // partitions)
         hubs = nodes.filter(is_hub).select(F.col("id").alias("src"))
-        spread_edges = stored_edges.join(F.broadcast(hubs), "src", "left_anti")
-        hub_edges = stored_edges.join(F.broadcast(hubs), "src", "left_semi").persist()
-    kept_edges = (
-        spread_edges.repartition(partitions, "src").sortWithinPartitions("src").persist()
-    )
-
-    state = nodes.select("id", "out_degree", F.lit(START_RANK).alias("pagerank"))
-    for done in range(1, iterations + 1):
-        shares = state.filter(F.col("out_degree") > 0).select(
-            F.col("id").alias("src"),
-            "out_degree",
-            (F.col("pagerank") / F.col("out_degree")).alias("share"),
+        hub_edges = keep(stored_edges.join(F.broadcast(hubs), "src", "left_semi"))
+        kept_edges = keep(
+            stored_edges.join(F.broadcast(hubs), "src", "left_anti")
+            .repartition(partitions, "src")
+            .sortWithinPartitions("src")
         )
-        parts = kept_edges.join(shares, "src").select("dst", "share")
-        if has_hubs:
+        state = nodes.select("id", "out_degree", F.lit(START_RANK).alias("pagerank"))
+        for done in range(1, iterations + 1):
+            shares = state.filter(F.col("out_degree") > 0).select(
+                F.col("id").alias("src"),
+                "out_degree",
+                (F.col("pagerank") / F.col("out_degree")).alias("share"),
+            )
             hub_shares = shares.filter(is_hub).select("src", "share")
-            parts = parts.unionByName(
-                hub_edges.join(F.broadcast(hub_shares), "src").select("dst", "share")
+            parts = (
+                kept_edges.join(shares, "src")
+                .select("dst", "share")
+                .unionByName(hub_edges.join(F.broadcast(hub_shares), "src").select("dst", "share"))
             )
-        received = parts.groupBy(F.col("dst").alias("id")).agg(F.sum("share").alias("received"))
-        inflow = F.coalesce("received", F.lit(0.0))
-        state = nodes.join(received, "id", "left").select(
-            "id", "out_degree", (F.lit(1.0 - damping) + F.lit(damping) * inflow).alias("pagerank")
-        )
-        if done % rounds_per_stage == 0 and done < iterations:
-            state = written(state, "ranks")
-    ranks = written(state.select("id", "pagerank"), "ranks")
-    if has_hubs:
-        hub_edges.unpersist()
-    kept_edges.unpersist()
-    nodes.unpersist()
-    return ranks
+            received = parts.groupBy(F.col("dst").alias("id")).agg(F.sum("share").alias("received"))
+            inflow = F.coalesce("received", F.lit(0.0))
+            if redistribute_sinks:
+                lost = state.agg(
+                    F.coalesce(F.sum(F.when(F.col("out_degree") == 0, F.col("pagerank"))), F.lit(0.0))
+                    / F.count(F.lit(1))
+                )
+                inflow = inflow + lost.scalar()
+            state = nodes.join(received, "id", "left").select(
+                "id", "out_degree", (F.lit(1.0 - damping) + F.lit(damping) * inflow).alias("pagerank")
+            )
+            if done % rounds_per_stage == 0 and done < iterations:
+                state = written(state, "ranks")
+        ranks = written(state.select("id", "pagerank"), "ranks")
+    finally:
+        for df in kept:
+            df.unpersist()
+    files = ranks.inputFiles()
+    return spark.read.schema(ranks.schema).parquet(*files) if files else spark.createDataFrame([], ranks.schema)
 
 
 def top_wallets(ranks: DataFrame, k: int = TOP_REPORT) -> DataFrame:

@@ -130,20 +130,22 @@ def token_holders(held: DataFrame) -> DataFrame:
     return held.groupBy("token_address").agg(F.count_distinct("user_address").alias("num_holders"))
 
 
-def score_pairs(held: DataFrame) -> DataFrame:
+def score_pairs(held: DataFrame, pair_counts: bool = False) -> DataFrame:
     """Pairs with their wallet's transactions and their asset's holders. Runs two jobs.
 
     Windows over a wallet or an asset would put a hot one into a single task. The two
     totals combine before their shuffle and are stored, so the joins broadcast them when
     their measured size allows and are otherwise split on hot keys at run time.
+    ``pair_counts`` carries the pair's own ``tx_count`` along, for a confidence by pair.
     """
     totals = written(user_totals(held), "user-totals")
     holders = written(token_holders(held), "token-holders")
+    own = ["tx_count"] if pair_counts else []
     return (
-        held.select("user_address", "token_address")
+        held.select("user_address", "token_address", *own)
         .join(totals, "user_address", "left")
         .join(holders, "token_address", "left")
-        .select("user_address", "token_address", "total_tx", "num_holders")
+        .select("user_address", "token_address", *own, "total_tx", "num_holders")
     )
 
 
@@ -154,51 +156,54 @@ def threshold_grid(
 ) -> DataFrame:
     """Size and sparsity of the matrix for every pair of thresholds, empty ones included.
 
-    Each row is reduced to how many thresholds it passes. A wallet is in a cell if its best
-    pair is, an asset likewise, so a few counts by level give all combinations at once:
-    no row is copied per combination and nothing is counted distinct.
+    Each row carries one bit for every cell it is in. Bits of a wallet, or of an asset, are
+    joined by or, rows are counted by their bits, and the counts go to the cells at the end:
+    no row is copied per combination, nothing is counted distinct, and the totals may differ
+    from pair to pair of a wallet or an asset. A grid has at most 63 cells.
     """
-    txs, holders = sorted(set(min_txs)), sorted(set(min_holders))
-
-    def level(column: str, thresholds: list[int]):
-        return sum((F.col(column) >= t).cast("int") for t in thresholds)
-
-    levels = scored.select(
-        "user_address",
-        "token_address",
-        level("total_tx", txs).alias("tx_level"),
-        level("num_holders", holders).alias("holder_level"),
-    ).filter((F.col("tx_level") > 0) & (F.col("holder_level") > 0))
+    cells = [(t, h) for t in sorted(set(min_txs)) for h in sorted(set(min_holders))]
+    if len(cells) > 63:
+        raise ValueError("a grid has at most 63 cells")
+    inside = [
+        F.when((F.col("total_tx") >= t) & (F.col("num_holders") >= h), F.lit(1 << i)).otherwise(0)
+        for i, (t, h) in enumerate(cells)
+    ]
+    masked = scored.select(
+        "user_address", "token_address", sum(inside, F.lit(0).cast("long")).alias("mask")
+    ).filter(F.col("mask") > 0)
 
     def counted(rows: DataFrame, name: str) -> DataFrame:
-        return rows.groupBy("tx_level", "holder_level").agg(F.count(F.lit(1)).alias(name))
+        return rows.groupBy("mask").agg(F.count(F.lit(1)).alias(name))
 
-    def best(key: str) -> DataFrame:
-        return levels.groupBy(key).agg(
-            F.max("tx_level").alias("tx_level"), F.max("holder_level").alias("holder_level")
-        )
+    def of(key: str) -> DataFrame:
+        return masked.groupBy(key).agg(F.bit_or("mask").alias("mask"))
 
-    cells = (
-        counted(levels, "entries")
-        .unionByName(counted(best("user_address"), "users"), allowMissingColumns=True)
-        .unionByName(counted(best("token_address"), "tokens"), allowMissingColumns=True)
+    counts = (
+        counted(masked, "entries")
+        .unionByName(counted(of("user_address"), "users"), allowMissingColumns=True)
+        .unionByName(counted(of("token_address"), "tokens"), allowMissingColumns=True)
     )
+    # A row of zeros in every cell keeps the empty ones.
     every_cell = scored.sparkSession.range(1).select(
-        F.lit(len(txs)).alias("tx_level"),
-        F.lit(len(holders)).alias("holder_level"),
+        F.lit((1 << len(cells)) - 1).cast("long").alias("mask"),
         *[F.lit(0).cast("long").alias(name) for name in ("entries", "users", "tokens")],
     )
-    # At most one row per pair of levels is spread over the thresholds it passes.
-    spread = (
-        cells.unionByName(every_cell)
-        .withColumn("min_tx", F.explode(F.slice(F.lit(txs), F.lit(1), F.col("tx_level"))))
-        .withColumn(
-            "min_holders", F.explode(F.slice(F.lit(holders), F.lit(1), F.col("holder_level")))
-        )
+    limits = F.array(
+        *[
+            F.struct(
+                F.lit(1 << i).cast("long").alias("bit"),
+                F.lit(t).alias("min_tx"),
+                F.lit(h).alias("min_holders"),
+            )
+            for i, (t, h) in enumerate(cells)
+        ]
     )
     return (
-        spread.groupBy("min_tx", "min_holders")
-        .agg(*[F.sum(name).alias(name) for name in ("entries", "users", "tokens")])
+        counts.unionByName(every_cell)
+        .withColumn("cell", F.explode(limits))
+        .filter(F.col("mask").bitwiseAND(F.col("cell.bit")) != 0)
+        .groupBy("cell.min_tx", "cell.min_holders")
+        .agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ("entries", "users", "tokens")])
         .withColumn("sparsity_pct", F.round(sparsity_pct("entries", "users", "tokens"), 4))
         .orderBy("sparsity_pct", "min_tx", "min_holders")
     )

@@ -10,35 +10,52 @@ EXCHANGE_TX_LIMIT = 5000
 
 
 def signed_flows(normalized: DataFrame) -> DataFrame:
-    """Two rows per transfer: plus at the receiver, minus at the sender, from a single scan."""
-    legs = F.array(
-        F.struct(
-            F.lower("to_address").alias("user_address"), F.col("adjusted_value").alias("value")
-        ),
-        F.struct(
-            F.lower("from_address").alias("user_address"),
-            (-F.col("adjusted_value")).alias("value"),
-        ),
-    )
+    """Two rows per transfer: plus at the receiver, minus at the sender, from a single scan.
+
+    The exact ``amount`` and its ``decimals`` come along where ``normalized`` has them.
+    """
+    exact = "amount" in normalized.columns
+
+    def leg(address: str, sign: int):
+        amounts = [(F.col("amount") * sign).cast("decimal(38,0)").alias("amount")] if exact else []
+        value = (F.col("adjusted_value") * float(sign)).alias("value")
+        return F.struct(F.lower(address).alias("user_address"), value, *amounts)
+
+    rest = ["leg.amount", "decimals"] if exact else []
     return normalized.select(
         F.lower("token_address").alias("token_address"),
         "block_timestamp",
-        F.explode(legs).alias("leg"),
-    ).select("leg.user_address", "token_address", "leg.value", "block_timestamp")
+        *(["decimals"] if exact else []),
+        F.explode(F.array(leg("to_address", 1), leg("from_address", -1))).alias("leg"),
+    ).select("leg.user_address", "token_address", "leg.value", "block_timestamp", *rest)
 
 
 def portfolios(flows: DataFrame) -> DataFrame:
-    """Positive balances by wallet and asset, with activity. Combines before its one shuffle."""
-    return (
+    """Positive balances by wallet and asset, with activity. Combines before its one shuffle.
+
+    With exact amounts a balance is their sum, scaled at the end: +0.1, +0.2 and -0.3 leave
+    nothing, in whatever order rows arrive. A sum over 38 digits falls back to the doubles.
+    """
+    sums = [
+        F.sum("value").alias("balance"),
+        F.count(F.lit(1)).alias("tx_count"),
+        F.max("block_timestamp").alias("last_active"),
+    ]
+    exact = "amount" in flows.columns
+    if exact:
+        sums += [F.try_sum("amount").alias("_exact"), F.max("decimals").alias("_decimals")]
+    held = (
         flows.filter(F.col("user_address").isNotNull())
         .groupBy("user_address", "token_address")
-        .agg(
-            F.sum("value").alias("balance"),
-            F.count(F.lit(1)).alias("tx_count"),
-            F.max("block_timestamp").alias("last_active"),
-        )
-        .filter(F.col("balance") > 0)
+        .agg(*sums)
     )
+    if exact:
+        # All rows of a pair share their asset's decimals.
+        scaled = F.col("_exact").cast("double") / F.pow(F.lit(10.0), F.col("_decimals"))
+        positive = F.coalesce(F.col("_exact") > 0, F.col("balance") > 0)
+        held = held.filter(positive).withColumn("balance", F.coalesce(scaled, F.col("balance")))
+        return held.drop("_exact", "_decimals")
+    return held.filter(F.col("balance") > 0)
 
 
 def contract_addresses(contracts: DataFrame) -> DataFrame:

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from walletlens.functions.shared_storage import shared_root, written
-from walletlens.operators.evaluate import CUTOFFS, ndcg_at_k, rank_recs, ranking_metrics
-from walletlens.operators.route import SAFE_MODE, TOP_N, route_recommendations
+from walletlens.operators.evaluate import CUTOFFS, ndcg_at_k, ranking_metrics
+from walletlens.operators.route import SAFE_MODE, TOP_N, known_wallets, route_recommendations
 
 # Fixed values.
 USER_COL = "user_id_int"
@@ -21,6 +21,13 @@ MAX_ITER = 20
 SEED = 42
 SELECTION_K = 10
 
+# Ids that make up a block, and the fewest blocks of a side that has as many ids. Factors start
+# by block, so blocks follow from the data alone: another cluster gives the same model.
+USERS_PER_BLOCK = 20_000
+ITEMS_PER_BLOCK = 20_000
+LEAST_USER_BLOCKS = 8
+LEAST_ITEM_BLOCKS = 2
+
 
 @dataclass(frozen=True)
 class AlsSetting:
@@ -44,6 +51,23 @@ MODEL_GRID = (
 )
 
 
+def block_counts(interactions: DataFrame) -> tuple[int, int]:
+    """User and item blocks from the number of ids; few item blocks keep top-k tasks few. Runs a job."""
+    counted = [
+        interactions.select(column).distinct().agg(F.count(F.lit(1)).alias("n")).withColumn("side", F.lit(column))
+        for column in (USER_COL, ITEM_COL)
+    ]
+    n = {row["side"]: row["n"] for row in counted[0].unionByName(counted[1]).collect()}
+
+    def blocks(ids: int, per_block: int, least: int) -> int:
+        return max(1, min(least, ids), -(-ids // per_block))
+
+    return (
+        blocks(n[USER_COL], USERS_PER_BLOCK, LEAST_USER_BLOCKS),
+        blocks(n[ITEM_COL], ITEMS_PER_BLOCK, LEAST_ITEM_BLOCKS),
+    )
+
+
 def train_als(
     interactions: DataFrame,
     rank: int,
@@ -51,19 +75,24 @@ def train_als(
     alpha: float,
     max_iter: int = MAX_ITER,
     seed: int = SEED,
-    blocks: int | None = None,
+    user_blocks: int | None = None,
+    item_blocks: int | None = None,
 ) -> ALSModel:
     """Fit non-negative implicit ALS on ``(user_id_int, token_id_int, ultimate_confidence)``.
 
-    Users and items are split into ``blocks``, by default one per core of the cluster: the
-    library's own fixed number would leave most of a large cluster idle.
+    Users and items are split into blocks by their number of ids (see ``block_counts``). Rows
+    are dealt by a hash of their ids first, as the library adds up in the order it meets them.
     """
     # ALS cuts its own lineage every few rounds once a checkpoint folder is known.
     shared_root(interactions.sparkSession)
-    blocks = blocks or interactions.sparkSession.sparkContext.defaultParallelism
+    if user_blocks is None or item_blocks is None:
+        counted = block_counts(interactions)
+        user_blocks, item_blocks = user_blocks or counted[0], item_blocks or counted[1]
+    rows = interactions.select(USER_COL, ITEM_COL, RATING_COL)
+    ordered = rows.repartition(user_blocks, USER_COL).sortWithinPartitions(USER_COL, ITEM_COL)
     return ALS(
-        numUserBlocks=blocks,
-        numItemBlocks=blocks,
+        numUserBlocks=user_blocks,
+        numItemBlocks=item_blocks,
         rank=rank,
         regParam=reg,
         alpha=alpha,
@@ -75,21 +104,44 @@ def train_als(
         userCol=USER_COL,
         itemCol=ITEM_COL,
         ratingCol=RATING_COL,
-    ).fit(interactions.select(USER_COL, ITEM_COL, RATING_COL))
+    ).fit(ordered)
 
 
-def recommend_top_n(model: ALSModel, users: DataFrame, k: int) -> DataFrame:
+def recommend_top_n(
+    model: ALSModel, users: DataFrame, k: int, exclude_seen: DataFrame | None = None
+) -> DataFrame:
     """The ``k`` best items of each user as ``(user_id_int, rank, token_id_int, score)``.
 
-    Items a user already holds stay in; users the model never saw have no rows.
+    Users the model never saw have no rows. Items a user already holds stay in, unless
+    ``exclude_seen`` names them as ``(user_id_int, token_id_int)``: then each list is asked for
+    with as many more items as any requested user holds. A list is ordered where it was made,
+    by score and then item, so nothing is shuffled for the ranks.
     """
-    lists = model.recommendForUserSubset(users.select(USER_COL).distinct(), k)
-    recs = lists.select(USER_COL, F.explode("recommendations").alias("rec")).select(
-        USER_COL,
-        F.col(f"rec.{ITEM_COL}").alias(ITEM_COL),
-        F.col("rec.rating").cast("double").alias("score"),
+    wanted = users.select(USER_COL).distinct()
+    more = 0
+    if exclude_seen is not None:
+        held = exclude_seen.select(USER_COL, ITEM_COL).distinct().join(wanted, USER_COL, "left_semi")
+        held = written(held.groupBy(USER_COL).agg(F.collect_set(ITEM_COL).alias("held")), "held")
+        more = held.agg(F.max(F.size("held"))).first()[0] or 0
+    lists = model.recommendForUserSubset(wanted, k + more)
+    entries = F.transform(
+        "recommendations",
+        lambda r: F.struct(
+            (-r["rating"]).alias("_order"), r[ITEM_COL].alias(ITEM_COL), r["rating"].cast("double").alias("score")
+        ),
+    )
+    lists = lists.select(USER_COL, F.array_sort(entries).alias("entries"))
+    if exclude_seen is not None:
+        lists = lists.join(held, USER_COL, "left").select(
+            USER_COL,
+            F.filter(
+                "entries",
+                lambda e: ~F.array_contains(F.coalesce("held", F.array().cast("array<int>")), e[ITEM_COL]),
+            ).alias("entries"),
+        )
+    return lists.select(USER_COL, F.posexplode(F.slice("entries", 1, k)).alias("position", "entry")).select(
+        USER_COL, (F.col("position") + 1).alias("rank"), f"entry.{ITEM_COL}", "entry.score"
     )
-    return rank_recs(recs)
 
 
 def evaluate_model(model: ALSModel, test: DataFrame, ks: Sequence[int] = CUTOFFS) -> DataFrame:
@@ -111,7 +163,7 @@ def recommend_for_user(
     request = spark.createDataFrame(
         [(str(user_id), risk_mode)], "user_id string, risk_mode string"
     )
-    user = history.filter(F.col("user_id").cast("string") == str(user_id)).select(USER_COL)
+    user = known_wallets(request, history).select(USER_COL)
     recs = recommend_top_n(model, user, top_n)
     return route_recommendations(request, history, recs, safe, trending, top_n)
 
@@ -133,19 +185,20 @@ def select_model(
         busy = train.groupBy(USER_COL).count().filter(F.col("count") >= min_interactions)
         train = train.join(busy.select(USER_COL), USER_COL, "left_semi")
     train, test = written(train, "train"), written(test, "test")
-    best_model, best_label, best_ndcg, rows = None, "", -1.0, []
+    fitted = []
     for setting in grid:
         model = train_als(train, setting.rank, setting.reg, setting.alpha, max_iter)
         result = ndcg_at_k(recommend_top_n(model, test, k), test, k).first()
-        rows.append((setting.label, result["ndcg"], result["users"]))
-        if result["ndcg"] > best_ndcg:
-            best_model, best_label, best_ndcg = model, setting.label, result["ndcg"]
+        fitted.append((result["ndcg"], result["users"], setting.label, model))
+    # max() keeps the first of equal ones.
+    winner = max(fitted, key=lambda fit: fit[0])
+    rows = [(label, ndcg, users) for ndcg, users, label, _ in fitted]
     table = (
         train.sparkSession.createDataFrame(rows, "label string, ndcg double, users bigint")
-        .withColumn("best", F.col("label") == best_label)
+        .withColumn("best", F.col("label") == winner[2])
         .orderBy(F.desc("ndcg"), F.desc("best"))
     )
-    return best_model, table
+    return winner[3], table
 
 
 def save_model(model: ALSModel, path: str) -> None:

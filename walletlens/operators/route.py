@@ -57,6 +57,20 @@ def _best(catalog: DataFrame, score: str, source: str, top_n: int) -> DataFrame:
     )
 
 
+def known_wallets(requests: DataFrame, history: DataFrame) -> DataFrame:
+    """(user_id as text, user_id_int) of the requested wallets that have history.
+
+    ``history`` may be any table that holds both ids, such as the id map. Requested ids take the
+    type of its own, so the filter reaches the scan and only matching rows are made distinct.
+    """
+    kind = history.schema["user_id"].dataType.simpleString()
+    asked = requests.select(F.col("user_id").cast("string").alias("_asked")).distinct()
+    asked = asked.select("_asked", F.expr(f"try_cast(_asked as {kind})").alias("user_id"))
+    found = history.select("user_id", "user_id_int").join(asked, "user_id")
+    same = F.col("user_id").cast("string") == F.col("_asked")  # "007" is not 7
+    return found.filter(same).select(F.col("_asked").alias("user_id"), "user_id_int").distinct()
+
+
 def route_recommendations(
     requests: DataFrame,
     history: DataFrame,
@@ -73,7 +87,7 @@ def route_recommendations(
     Known wallets without recommendations fall back too, unless ``strict``. Returns
     ``(user_id, risk_mode, rank, token_id_int, score, source)``.
     """
-    known = history.select(F.col("user_id").cast("string").alias("user_id"), "user_id_int").distinct()
+    known = known_wallets(requests, history)
     lists = (
         recs.filter(F.col("rank") <= top_n)
         .groupBy("user_id_int")

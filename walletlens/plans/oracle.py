@@ -7,22 +7,23 @@ from __future__ import annotations
 
 import re
 
-from walletlens.operators.features import SEED, TRAIN_SHARE
-from walletlens.operators.graph import DAMPING, ITERATIONS, TOP_REPORT
-from walletlens.operators.matrix import TOKEN_THRESHOLDS, USER_THRESHOLDS
-from walletlens.operators.route import TOP_N
-from walletlens.plans.queries import (
-    CONTRACT_RANGE,
-    DEFAULT_SETTING,
-    LOW_K,
-    MID_K,
-    POPULAR,
-    RANK_DIGITS,
-    TOP_K,
-    TRANSFER_RANGE,
-    TX_RANGE,
+from types import SimpleNamespace
+
+# Written out, not taken from the operators: a wrong constant there must not pass here.
+SEED, TRAIN_SHARE = 42, 0.8
+DAMPING, ITERATIONS, TOP_REPORT = 0.85, 5, 20
+TOKEN_THRESHOLDS = USER_THRESHOLDS = (10, 20, 50)
+TOP_N = 10
+TX_RANGE = ("2024-01-05", "2024-01-20")
+TRANSFER_RANGE = ("1996-01-01", "1998-01-01")
+CONTRACT_RANGE = ("2023-01-01", "2026-04-01")
+POPULAR = 20
+TOP_K, MID_K, LOW_K = 100, 150, 250
+RANK_DIGITS = 9
+S = SimpleNamespace(
+    max_decimals=18, exchange_tx_limit=40, min_tx=20, min_holders=10, safe_min_holders=20, trending_low=10,
+    trending_high=25,
 )
-from walletlens.plans.sample_views import SAMPLE_SETTINGS as S
 
 
 def _address(key: str) -> str:
@@ -50,6 +51,21 @@ STEPS: dict[str, str] = {
                c_nationkey % 5 = 0 as is_erc721,
                cast(date '2022-06-01' + cast(c_custkey as int) as date) as block_timestamp
         from customer where c_mktsegment = 'MACHINERY'""",
+    "all_contracts": f"""
+        select {_address('c_custkey')} as address, c_nationkey % 2 = 0 as is_erc20,
+               c_nationkey % 5 = 0 as is_erc721,
+               cast(date '2022-06-01' + cast(c_custkey as int) as date) as block_timestamp
+        from customer""",
+    "fractional_there": f"""
+        select {_address('l_partkey')} as token, {_address('o_custkey')} as sender,
+               {_address('l_suppkey * 10 + l_linenumber')} as receiver, l_linenumber as line,
+               cast(round(l_extendedprice * 100) as hugeint) as amount, l_shipdate as day
+        from lineitem join orders on l_orderkey = o_orderkey""",
+    "fractional_moves": """
+        select token, receiver as wallet, amount, day from fractional_there
+        union all select token, sender, -amount, day from fractional_there
+        union all select token, sender, amount, day from fractional_there where line % 3 = 0
+        union all select token, receiver, -amount, day from fractional_there where line % 3 = 0""",
     "raw_transactions": f"""
         select {_address('event_id')} as hash, {_address('user_id')} as from_address,
                case when event_id % 97 = 0 then null else {_address('event_id % 100')} end
@@ -218,6 +234,10 @@ STEPS: dict[str, str] = {
         select token_id_int, count(*)::double as score from sides where side = 'train'
         group by 1 order by score desc, token_id_int limit {POPULAR}""",
     "test_rows": "select user_id_int, token_id_int from sides where side = 'test'",
+    "train_rows": "select user_id, user_id_int, token_id_int from sides where side = 'train'",
+    "trained_users": """
+        select distinct user_id_int from test_rows
+        where user_id_int in (select user_id_int from train_rows)""",
     "recs": """
         select user_id_int,
                row_number() over (partition by user_id_int order by score desc, token_id_int)
@@ -266,6 +286,9 @@ STEPS: dict[str, str] = {
             select 'trending', token_id_int, momentum_score,
                    row_number() over (order by momentum_score desc, token_id_int) from trending)
         where rank <= {TOP_N}""",
+    "model_answers": """
+        select source, cast(rank as int) as rank, token_id_int, round(score, 6) as score from catalogs
+        union all select 'als', unnest(range(1, 11))::int, null, null""",
     "routed": """
         select q.user_id, q.risk_mode, h.user_id_int,
                case when h.user_id_int in (select user_id_int from recs) then 'als'
@@ -337,8 +360,8 @@ FINAL: dict[str, str] = {
     "read_token_csv": """
         select address, symbol, name, cast(decimals as varchar) as decimals, total_supply
         from tokens""",
-    "write_table": "select * from raw_contracts",
-    "catalog_table": "select * from raw_contracts",
+    "write_table": "select * from all_contracts",
+    "catalog_table": "select * from all_contracts",
     "clean_tokens": "select * from clean_tokens",
     "normalize_transfers": _rounded_columns(_TRANSFER_COLUMNS, "adjusted_value", "normalized"),
     "processed_transfers": _rounded_columns(
@@ -350,7 +373,12 @@ FINAL: dict[str, str] = {
     "portfolios": _rounded_columns(
         "user_address, token_address, tx_count, last_active", "balance", "portfolios"
     ),
-    "contract_addresses": "select * from contracts",
+    "contract_addresses": "select distinct lower(address) as address from all_contracts",
+    "portfolios_fractional": """
+        select wallet as user_address, token as token_address, count(*) as tx_count, max(day) as last_active,
+               round(sum(amount)::double / pow(10, any_value(decimals)), 6) as balance
+        from fractional_moves join clean_tokens on token = address
+        group by wallet, token having sum(amount) > 0""",
     "label_contracts": _rounded_columns(_HELD_COLUMNS, "balance", "labelled"),
     "label_counts": """
         select count(*) as total, count(*) filter (is_contract) as contracts,
@@ -512,12 +540,41 @@ FINAL: dict[str, str] = {
                round(momentum_score, 6) as momentum_score
         from trending""",
     # Of a fitted model SQL can tell who has factors and how many.
-    "train_als": f"""
-        select distinct user_id_int as id, {DEFAULT_SETTING.rank} as factors from sides
+    "train_als": """
+        select distinct user_id_int as id, 50 as factors, true as sound from sides
         where side = 'train'""",
-    "save_model": f"""
-        select distinct token_id_int as id, {DEFAULT_SETTING.rank} as factors from sides
+    "save_model": """
+        select distinct token_id_int as id, 50 as factors, true as sound, true as is_equal from sides
         where side = 'train'""",
+    "select_model": """
+        select unnest(['rank=30 reg=0.10 alpha=15', 'rank=50 reg=0.10 alpha=15', 'rank=50 reg=0.05 alpha=20',
+                       'rank=50 reg=0.01 alpha=25']) as label,
+               (select count(*) from trained_users) as users, true as sound""",
+    "recommend_top_n": """
+        select user_id_int, rank, true as is_product, true as is_ordered, true as is_single
+        from trained_users, (select unnest(range(1, 11))::int as rank)""",
+    "recommend_unseen": """
+        select user_id_int, rank, false as is_seen
+        from (select user_id_int, (select count(distinct token_id_int) from train_rows) - count(*) as unseen
+              from train_rows group by 1) join trained_users using (user_id_int),
+             (select unnest(range(1, 11))::int as rank)
+        where rank <= unseen""",
+    "als_ranking_metrics": """
+        select unnest([5, 10, 20]) as k, (select count(*) from trained_users) as users_eval,
+               (select count(distinct user_id_int) from test_rows) as users_total, true as in_range""",
+    "route_als": """
+        select user_id, risk_mode, rank, source, token_id_int, score
+        from (select q.*, case when h.user_id_int in (select user_id_int from train_rows) then 'als'
+                               when q.risk_mode = 'safe' then 'safe' else 'trending' end as source
+              from requests q left join (select distinct cast(user_id as varchar) as user_id, user_id_int
+                                         from interactions) h using (user_id))
+        join model_answers using (source)""",
+    "recommend_for_user": """
+        select user_id, risk_mode, rank, source, token_id_int, score
+        from (select cast(min(user_id) as varchar) as user_id, 'safe' as risk_mode, 'als' as source
+              from train_rows
+              union all select '-2', 'safe', 'safe' union all select '-3', 'daring', 'trending')
+        join model_answers using (source)""",
     "route_recommendations": f"""
         select user_id, risk_mode, cast(rank as int) as rank, token_id_int,
                round(score, 6) as score, source

@@ -90,14 +90,20 @@ class WalletPipeline:
     def normalized(self) -> DataFrame:
         return clean.normalize_transfers(self.transfers, self.stored_tokens)
 
+    @cached_property
+    def stored_normalized(self) -> DataFrame:
+        # The one pass over raw transfers; flows, the wallet map and the index read this.
+        table = clean.normalize_transfers(self.transfers, self.stored_tokens, keep_amount=True)
+        columns = ("from_address", "to_address", "token_address", "adjusted_value", "amount", "decimals")
+        return written(table.select(*columns, "block_timestamp"), "normalized")
+
     @cached_property
     def processed(self) -> DataFrame:
-        # Read once for the wallet map and once to be indexed.
-        return written(clean.processed_transfers(self.normalized), "processed")
+        return clean.processed_transfers(self.stored_normalized)
 
     @cached_property
     def flows(self) -> DataFrame:
-        return portfolio.signed_flows(self.normalized)
+        return portfolio.signed_flows(self.stored_normalized)
 
     @cached_property
     def portfolios(self) -> DataFrame:

@@ -6,12 +6,13 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from walletlens.functions.shared_storage import scratch_path
 from walletlens.operators import (
+    clean,
     distribution,
     evaluate,
     features,
@@ -121,7 +122,7 @@ def read_token_csv(views: SampleViews) -> DataFrame:
 @view_query
 def write_table(views: SampleViews) -> DataFrame:
     path = scratch_path(views.spark, "export")
-    contracts = views.raw_contracts()
+    contracts = views.all_contracts()
     tables.write_table(contracts, path, n_files=10, partition_by=["is_erc20"])
     return tables.read_slices(views.spark, [path], contracts.schema)
 
@@ -130,7 +131,7 @@ def write_table(views: SampleViews) -> DataFrame:
 def catalog_table(views: SampleViews) -> DataFrame:
     path = scratch_path(views.spark, "catalog")
     name = f"contracts_{uuid.uuid4().hex}"
-    return tables.save_catalog_table(views.raw_contracts(), name, path=path)
+    return tables.save_catalog_table(views.all_contracts(), name, path=path)
 
 
 # Clean and portfolio ---------------------------------------------------------------------
@@ -153,7 +154,7 @@ def processed_transfers(stages: WalletPipeline) -> DataFrame:
 
 @stage_query
 def signed_flows(stages: WalletPipeline) -> DataFrame:
-    return stages.flows
+    return stages.flows.drop("amount", "decimals")
 
 
 @stage_query
@@ -161,9 +162,17 @@ def portfolios(stages: WalletPipeline) -> DataFrame:
     return stages.portfolios
 
 
-@stage_query
-def contract_addresses(stages: WalletPipeline) -> DataFrame:
-    return portfolio.contract_addresses(stages.raw_contracts)
+@view_query
+def contract_addresses(views: SampleViews) -> DataFrame:
+    return portfolio.contract_addresses(views.all_contracts())
+
+
+@view_query
+def portfolios_fractional(views: SampleViews) -> DataFrame:
+    """Balances over fractions: those that come to nothing must not stay."""
+    assets = clean.clean_tokens(views.tokens())
+    exact = clean.normalize_transfers(views.fractional_transfers(), assets, keep_amount=True)
+    return portfolio.portfolios(portfolio.signed_flows(exact))
 
 
 @stage_query
@@ -492,42 +501,127 @@ def _default_model(train: DataFrame) -> ALSModel:
     return recommend.train_als(train, setting.rank, setting.reg, setting.alpha)
 
 
+def _sound_factors(factors: DataFrame) -> DataFrame:
+    """Per id: how many factors it has, and whether all are finite and none is negative."""
+    good = F.forall("features", lambda x: (x >= 0) & (x < float("inf")))
+    return factors.select("id", F.size("features").alias("factors"), good.alias("sound"))
+
+
+# Scores are float sums of products of floats.
+SCORE_TOLERANCE = 1e-4
+
+
+def _checked_recs(recs: DataFrame, model: ALSModel) -> DataFrame:
+    """Per user and rank: the score is the factors' product, none rises, no item comes twice."""
+    users = model.userFactors.select(F.col("id").alias("user_id_int"), F.col("features").alias("u"))
+    items = model.itemFactors.select(F.col("id").alias("token_id_int"), F.col("features").alias("i"))
+    product = F.aggregate(
+        F.zip_with("u", "i", lambda x, y: x.cast("double") * y), F.lit(0.0), lambda total, x: total + x
+    )
+    # A user has at most as many rows as were asked for.
+    by_rank = Window.partitionBy("user_id_int").orderBy("rank")
+    by_item = Window.partitionBy("user_id_int", "token_id_int")
+    return (
+        recs.join(users, "user_id_int")
+        .join(items, "token_id_int")
+        .withColumn("before", F.lag("score").over(by_rank))
+        .withColumn("times", F.count(F.lit(1)).over(by_item))
+        .select(
+            "user_id_int",
+            F.col("rank").cast("int").alias("rank"),
+            (F.abs(product - F.col("score")) <= SCORE_TOLERANCE * (1 + F.abs("score"))).alias("is_product"),
+            F.coalesce(F.col("score") <= F.col("before"), F.lit(True)).alias("is_ordered"),
+            (F.col("times") == 1).alias("is_single"),
+        )
+    )
+
+
 @stage_query
 def train_als(stages: WalletPipeline) -> DataFrame:
+    return _sound_factors(_default_model(stages.split[0]).userFactors)
+
+
+@stage_query
+def save_model(stages: WalletPipeline) -> DataFrame:
+    path = scratch_path(stages.transfers.sparkSession, "model")
     model = _default_model(stages.split[0])
-    return model.userFactors.select("id", F.size("features").alias("factors"))
+    recommend.save_model(model, path)
+    saved = model.itemFactors.select("id", F.col("features").alias("saved"))
+    loaded = recommend.load_model(path).itemFactors
+    equal = _sound_factors(loaded).join(loaded, "id").join(saved, "id", "full")
+    return equal.select("id", "factors", "sound", (F.col("features") == F.col("saved")).alias("is_equal"))
 
 
 @stage_query
 def select_model(stages: WalletPipeline) -> DataFrame:
-    return recommend.select_model(*stages.split)[1]
+    table = recommend.select_model(*stages.split)[1]
+    top = table.agg(F.max("ndcg")).scalar()
+    chosen = table.agg(F.count_if("best")).scalar()
+    sound = (F.col("ndcg") >= 0) & (F.col("ndcg") <= 1) & (~F.col("best") | (F.col("ndcg") == top))
+    return table.select("label", "users", (sound & (chosen == 1)).alias("sound"))
 
 
 @stage_query
 def recommend_top_n(stages: WalletPipeline) -> DataFrame:
     train, test = stages.split
-    return recommend.recommend_top_n(_default_model(train), test, 10)
+    model = _default_model(train)
+    return _checked_recs(recommend.recommend_top_n(model, test, 10), model)
+
+
+@stage_query
+def recommend_unseen(stages: WalletPipeline) -> DataFrame:
+    """No held item is recommended; the lists stay full as long as items are left."""
+    train, test = stages.split
+    recs = recommend.recommend_top_n(_default_model(train), test, 10, exclude_seen=train)
+    seen = train.select("user_id_int", "token_id_int", F.lit(True).alias("is_seen"))
+    return recs.join(seen, ["user_id_int", "token_id_int"], "left").select(
+        "user_id_int", F.col("rank").cast("int").alias("rank"), F.coalesce("is_seen", F.lit(False)).alias("is_seen")
+    )
 
 
 @stage_query
 def als_ranking_metrics(stages: WalletPipeline) -> DataFrame:
     train, test = stages.split
-    return recommend.evaluate_model(_default_model(train), test)
+    metrics = recommend.evaluate_model(_default_model(train), test)
+    inside = [F.col(m).between(0, 1) for m in ("precision", "recall", "ndcg", "hit_rate")]
+    return metrics.select("k", "users_eval", "users_total", F.array_min(F.array(*inside)).alias("in_range"))
+
+
+def _routed(answers: DataFrame) -> DataFrame:
+    """Rows of a router; those of a model without their items, which no SQL can know."""
+    own = F.col("source") == "als"
+    return answers.select(
+        "user_id",
+        "risk_mode",
+        F.col("rank").cast("int").alias("rank"),
+        "source",
+        F.when(~own, F.col("token_id_int")).alias("token_id_int"),
+        F.when(~own, F.col("score")).alias("score"),
+    )
 
 
 @view_query
 def route_als(views: SampleViews) -> DataFrame:
     stages = views.pipeline()
     model = _default_model(stages.split[0])
-    recs = recommend.recommend_top_n(model, stages.interactions, route.TOP_N)
-    return route.route_recommendations(
-        views.requests(), stages.interactions, recs, stages.safe, stages.trending
+    wanted = route.known_wallets(views.requests(), stages.interactions)
+    recs = recommend.recommend_top_n(model, wanted, route.TOP_N)
+    return _routed(
+        route.route_recommendations(
+            views.requests(), stages.interactions, recs, stages.safe, stages.trending
+        )
     )
 
 
-@stage_query
-def save_model(stages: WalletPipeline) -> DataFrame:
-    path = scratch_path(stages.transfers.sparkSession, "model")
-    recommend.save_model(_default_model(stages.split[0]), path)
-    loaded = recommend.load_model(path)
-    return loaded.itemFactors.select("id", F.size("features").alias("factors"))
+@view_query
+def recommend_for_user(views: SampleViews) -> DataFrame:
+    """One known wallet, and two unknown ones that ask for either catalog."""
+    stages = views.pipeline()
+    train = stages.split[0]
+    model = _default_model(train)
+    known = train.agg(F.min("user_id")).first()[0] or -1
+    answers = [
+        recommend.recommend_for_user(user, model, train, stages.safe, stages.trending, risk_mode=mode)
+        for user, mode in ((known, "safe"), (-2, "safe"), (-3, "daring"))
+    ]
+    return _routed(answers[0].unionByName(answers[1]).unionByName(answers[2]))

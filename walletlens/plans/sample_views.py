@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from walletlens.plans.pipeline import Settings, WalletPipeline
-from walletlens.sources.tables import spread
 
 # Thresholds scaled to the size of the benchmark tables.
 SAMPLE_SETTINGS = Settings(
@@ -53,7 +52,7 @@ class SampleViews:
         )
 
     def transfers(self) -> DataFrame:
-        lines = spread(self._table("lineitem"))
+        lines = self._table("lineitem")
         orders = self._table("orders").select("o_orderkey", "o_custkey")
         parts = self._table("part").select("p_partkey", "p_size")
         amount = F.expr(
@@ -74,25 +73,46 @@ class SampleViews:
         )
 
     def raw_contracts(self) -> DataFrame:
-        return (
-            self._table("customer")
-            .filter(F.col("c_mktsegment") == "MACHINERY")
-            .select(
-                address("c_custkey").alias("address"),
-                (F.col("c_nationkey") % 2 == 0).alias("is_erc20"),
-                (F.col("c_nationkey") % 5 == 0).alias("is_erc721"),
-                F.expr("date_add(date '2022-06-01', cast(c_custkey as int))").alias(
-                    "block_timestamp"
-                ),
-            )
+        """The wallets that count as contracts here: those of one market segment."""
+        return self._contracts(self._table("customer").filter(F.col("c_mktsegment") == "MACHINERY"))
+
+    def all_contracts(self) -> DataFrame:
+        """The same columns for the whole table, for steps that have no need of a choice."""
+        return self._contracts(self._table("customer"))
+
+    def _contracts(self, customers: DataFrame) -> DataFrame:
+        return customers.select(
+            address("c_custkey").alias("address"),
+            (F.col("c_nationkey") % 2 == 0).alias("is_erc20"),
+            (F.col("c_nationkey") % 5 == 0).alias("is_erc721"),
+            F.expr("date_add(date '2022-06-01', cast(c_custkey as int))").alias("block_timestamp"),
+        )
+
+    def fractional_transfers(self) -> DataFrame:
+        """Transfers whose amounts are fractions, each with its return to the sender for every third line."""
+        lines = self._table("lineitem")
+        orders = self._table("orders").select("o_orderkey", "o_custkey")
+        there = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+            address("l_partkey").alias("token_address"),
+            address("o_custkey").alias("from_address"),
+            address("l_suppkey * 10 + l_linenumber").alias("to_address"),
+            F.expr("cast(cast(round(l_extendedprice * 100) as bigint) as string)").alias("value"),
+            address("l_orderkey").alias("transaction_hash"),
+            F.col("l_shipdate").alias("block_timestamp"),
+            "l_linenumber",
+        )
+        back = there.filter("l_linenumber % 3 = 0").select(
+            "token_address", F.col("to_address").alias("from_address"), F.col("from_address").alias("to_address"),
+            "value", "transaction_hash", "block_timestamp", "l_linenumber",
         )
+        return there.unionByName(back).drop("l_linenumber")
 
     def raw_transactions(self) -> DataFrame:
         value = F.expr(
             "cast(concat(cast(cast(round(value * 100) as bigint) as string), repeat('0', 16)) "
             "as decimal(38,9))"
         )
-        return spread(self._table("events")).select(
+        return self._table("events").select(
             address("event_id").alias("hash"),
             address("user_id").alias("from_address"),
             F.when(F.col("event_id") % 97 != 0, address("event_id % 100")).alias("to_address"),
