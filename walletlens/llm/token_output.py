@@ -215,16 +215,16 @@ def write_token_blocks(
     kind = docs.schema["doc_id"].dataType
 
     def pack(batches):
-        ids, sizes, names, held, number = [], [], [], 0, 0
+        ids, sizes, names, held, number, before = [], [], [], 0, 0, 0
 
         def block():
-            nonlocal ids, sizes, names, held, number
+            nonlocal ids, sizes, names, held, number, before
             joined = np.concatenate(ids)
             row = {
-                "number": [number], "doc_ids": pa.array([names]), "n_tokens": [held],
+                "number": [number], "before": [before], "doc_ids": pa.array([names]), "n_tokens": [held],
                 "block": [pack_block(joined, np.array(sizes))],
             }
-            ids, sizes, names, held, number = [], [], [], 0, number + 1
+            ids, sizes, names, held, number, before = [], [], [], 0, number + 1, before + held
             return row
 
         for batch in batches:
@@ -241,7 +241,7 @@ def write_token_blocks(
     blocks = map_batches(
         ranged.select("doc_id", "n_tokens", "ids"),
         pack,
-        f"number int, doc_ids array<{kind.simpleString()}>, n_tokens long, block binary",
+        f"number int, before long, doc_ids array<{kind.simpleString()}>, n_tokens long, block binary",
     )
     blocks.withColumn("part", F.spark_partition_id()).write.parquet(f"{path}/blocks")
 
@@ -250,16 +250,12 @@ def read_token_blocks(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, read back from the stored blocks."""
     order = np.frombuffer(spark.read.parquet(f"{path}/ranks").first()["ids"], "<u4")
     blocks = spark.read.parquet(f"{path}/blocks")
-    # Blocks before a block: one row per part, then the blocks of one part.
+    # A block knows the ids before it in its part; those of earlier parts are added here. Parts are the
+    # shuffle partitions of the write, so their table is small whatever the corpus.
     parts = blocks.groupBy("part").agg(F.sum("n_tokens").alias("n"))
-    before = Window.partitionBy().orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start"))
-    inside = Window.partitionBy("part").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        blocks.select("part", "number", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)).alias("inside"))
-        .join(parts, "part")
-        .select("part", "number", (F.col("inside") + F.col("part_start")).alias("block_start"))
-    )
+    earlier = Window.partitionBy().orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("part_start"))
+    placed = blocks.join(F.broadcast(parts), "part").withColumn("block_start", F.col("part_start") + F.col("before"))
 
     def unpack(batches: Iterable[pa.RecordBatch]):
         for batch in batches:
@@ -276,7 +272,7 @@ def read_token_blocks(spark: SparkSession, path: str) -> DataFrame:
 
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
     return map_batches(
-        blocks.join(starts, ["part", "number"]).select("doc_ids", "block_start", "block"),
+        placed.select("doc_ids", "block_start", "block"),
         unpack,
         f"doc_id {kind}, start long, n_tokens long, ids_crc32 long",
     )
