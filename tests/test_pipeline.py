@@ -7,7 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from walletlens import session
-from walletlens.operators import evaluate, matrix
+from walletlens.operators import evaluate, matrix, recommend
 from walletlens.plans.ingest import ingest_slice
 from walletlens.plans.queries import popularity_recs
 from walletlens.plans.sample_views import SampleViews
@@ -54,6 +54,18 @@ def test_export(spark, tmp_path, n_files):
     assert read["indexed_transfers"].count() == read["processed_transfers"].count() == 2684
 
 
+def test_export_model(spark, tmp_path):
+    stages = SampleViews(spark, FOLDER).pipeline()
+    grid = [recommend.AlsSetting(2, 0.1, 15.0), recommend.AlsSetting(3, 0.1, 15.0)]
+    paths = stages.export_model(str(tmp_path), grid, max_iter=2)
+    choice = spark.read.parquet(paths["model_choice"]).collect()
+    metrics = {r.k: r for r in spark.read.parquet(paths["ranking_metrics"]).collect()}
+    best = next(r for r in choice if r.best)
+    assert len(choice) == 2 and best.ndcg == metrics[10].ndcg and best.users == metrics[10].users_eval
+    model = recommend.load_model(paths["model"])
+    assert f"rank={model.rank} " in best.label
+
+
 def test_properties(spark):
     stages = SampleViews(spark, FOLDER).pipeline()
     # What one wallet gains another loses.

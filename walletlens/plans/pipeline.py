@@ -6,14 +6,14 @@ the small side, are stored in the shared folder; the others stay lazy.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame
 
 from walletlens.functions.shared_storage import written
-from walletlens.operators import clean, features, gas, graph, matrix, portfolio, route
+from walletlens.operators import clean, features, gas, graph, matrix, portfolio, recommend, route
 from walletlens.sources.tables import write_table
 
 # A raw table, or a function that opens it when a stage first needs it.
@@ -254,3 +254,18 @@ class WalletPipeline:
         for name, table in tables.items():
             write_table(table, paths[name], n_files=n_files)
         return paths
+
+    def export_model(
+        self,
+        folder: str,
+        grid: Sequence[recommend.AlsSetting] = recommend.MODEL_GRID,
+        max_iter: int = recommend.MAX_ITER,
+    ) -> dict[str, str]:
+        """Choose a model on the split and write it, the choice and its metrics below ``folder``."""
+        train, test = self.split
+        model, choice = recommend.select_model(train, test, grid, max_iter=max_iter)
+        paths = {name: f"{folder}/{name}" for name in ("model", "model_choice", "ranking_metrics")}
+        recommend.save_model(model, paths["model"])
+        write_table(choice, paths["model_choice"])
+        write_table(recommend.evaluate_model(model, test), paths["ranking_metrics"])
+        return paths
