@@ -23,6 +23,7 @@ from walletlens.llm.common import per_text
 SYMBOLS = b"#*$%&|<>"
 UPPER, LOWER = string.ascii_uppercase.encode(), string.ascii_lowercase.encode()
 SAMPLE_DOCS = 1000
+SAMPLE_STEPS = 1 << 40
 WINDOW = 8
 
 
@@ -131,12 +132,13 @@ RULES = (
 def estimate_rules(
     docs: DataFrame, rules: Sequence[Rule] = RULES, sample_docs: int = SAMPLE_DOCS
 ) -> list[tuple[str, float, float]]:
-    """(name, seconds per text, share rejected) over the ``sample_docs`` texts of least hash.
+    """(name, seconds per text, share rejected) over about ``sample_docs`` texts, chosen by hash.
 
-    The sample is bounded and stays on one executor; only one row per rule reaches the driver.
-    An empty table gives no rows, and every rule then counts as free and never rejecting.
+    The sample is read where it lies; one row per rule reaches the driver. An empty sample counts
+    every rule as free and never rejecting.
     """
-    sample = docs.select("text").orderBy(F.xxhash64("doc_id", "text")).limit(sample_docs)
+    share = min(1.0, sample_docs / max(1, docs.count()))
+    chosen = F.pmod(F.xxhash64("doc_id", "text"), F.lit(SAMPLE_STEPS)) < int(np.ceil(share * SAMPLE_STEPS))
 
     def measure(frames):
         seconds, rejected, seen = dict.fromkeys(rules, 0.0), dict.fromkeys(rules, 0), 0
@@ -148,16 +150,24 @@ def estimate_rules(
                     start = time.perf_counter()
                     rejected[rule] += bool(rule.rejects(facts))
                     seconds[rule] += time.perf_counter() - start
-        if seen:
-            yield pd.DataFrame(
-                [(r.name, seconds[r] / seen, rejected[r] / seen) for r in rules],
-                columns=["name", "seconds", "rejected"],
-            )
-
-    schema = "name string, seconds double, rejected double"
-    found = {r["name"]: r for r in sample.coalesce(1).mapInPandas(measure, schema).collect()}
+        yield pd.DataFrame(
+            [(r.name, seconds[r], float(rejected[r]), seen) for r in rules],
+            columns=["name", "seconds", "rejected", "seen"],
+        )
+
+    schema = "name string, seconds double, rejected double, seen long"
+    sums = (
+        docs.where(chosen)
+        .select("text")
+        .mapInPandas(measure, schema)
+        .groupBy("name")
+        .agg(*[F.sum(c).alias(c) for c in ("seconds", "rejected", "seen")])
+    )
+    found = {r["name"]: r for r in sums.collect() if r["seen"]}
     return [
-        (r.name, found[r.name]["seconds"], found[r.name]["rejected"]) if r.name in found else (r.name, 0.0, 0.0)
+        (r.name, found[r.name]["seconds"] / found[r.name]["seen"], found[r.name]["rejected"] / found[r.name]["seen"])
+        if r.name in found
+        else (r.name, 0.0, 0.0)
         for r in rules
     ]
 
