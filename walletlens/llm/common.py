@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,6 +53,39 @@ def map_batches(
     return df.mapInArrow(run, spark_schema)
 
 
+def bit_filter(values: DataFrame, column: str, bits: int) -> np.ndarray:
+    """A packed bit table of fixed size; a value whose bit is off is not among ``values``.
+
+    It only spares rows a shuffle: an exact join follows. Past its size it lets more rows through,
+    at last all of them, which costs the shuffle it would have spared and changes no result.
+    """
+    words = (
+        values.select(F.pmod(F.col(column), F.lit(bits)).alias("slot"))
+        .select(F.floor(F.col("slot") / 64).alias("w"), F.expr("shiftleft(1L, cast(slot % 64 as int))").alias("b"))
+        .groupBy("w")
+        .agg(F.bit_or("b").alias("b"))
+    )
+    table = np.zeros(bits // 64, np.int64)
+    for batch in words.toArrow().to_batches():  # at most bits / 64 rows
+        table[batch.column("w").to_numpy()] = batch.column("b").to_numpy()
+    return table.view(np.uint8)
+
+
+def bits_on(table: np.ndarray, values: np.ndarray) -> np.ndarray:
+    slots = values.astype(np.int64) % (len(table) * 8)
+    return (table[slots >> 3] >> (slots & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def maybe_in(table: np.ndarray) -> Callable[[str], Column]:
+    """A boolean column: the value may be among those of ``bit_filter``."""
+
+    @pandas_udf("boolean")
+    def test(values: pd.Series) -> pd.Series:
+        return pd.Series(bits_on(table, values.to_numpy()))
+
+    return test
+
+
 def in_fold(doc_id: Column, folds: int = 5) -> Column:
     """The remainder of crc32 of the id as text; a null id falls into fold 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(0))

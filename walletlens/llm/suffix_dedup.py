@@ -22,13 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from walletlens.functions.shared_storage import written
-from walletlens.llm.common import map_batches
+from walletlens.llm.common import bit_filter, map_batches, maybe_in
 
 LENGTH = 400
 GRAM = 48
 CHUNK = 256
 PIECE = 1 << 19
 SORTED_AT_ONCE = 40_000
+FILTER_BITS = 1 << 24
 
 _BASE = 0x5851F42D4C957F2D
 _PLACE_BITS = 20
@@ -302,12 +303,16 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     compared = kinds.join(mixed, "anchor").select(
         "one.*", "anchor", chunks.alias("chunks"), F.concat_ws(":", "anchor", F.pmod("digest", chunks)).alias("chunk")
     )
-    wanted = compared.groupBy("doc_id", "tie").agg(
-        F.collect_list(F.struct("begin", "stop", "anchor", "chunks", "chunk")).alias("cuts")
+    wanted = written(
+        compared.groupBy("doc_id", "tie").agg(
+            F.collect_list(F.struct("begin", "stop", "anchor", "chunks", "chunk")).alias("cuts")
+        ),
+        "cuts",
     )
+    holding = maybe_in(bit_filter(wanted, "tie", FILTER_BITS))
     same = F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.tie") == F.col("w.tie"))
-    # Repeated rows would fetch a segment twice; the first of them is enough.
-    read = docs.alias("d").join(wanted.alias("w"), same).select("d.doc_id", "d.tie", "text", "cuts")
+    # Only texts that hold such a segment are shuffled to their cuts.
+    read = docs.where(holding("tie")).alias("d").join(wanted.alias("w"), same).select("d.doc_id", "d.tie", "text", "cuts")
 
     def cut(batches):
         for batch in batches:
@@ -353,9 +358,17 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """
     keyed = docs.select("doc_id", F.xxhash64("text").alias("tie"), "text")
     spans = repeated_spans(keyed)
-    spans = spans.groupBy("doc_id", "tie").agg(F.collect_set(F.struct("begin", "stop")).alias("spans"))
+    spans = written(
+        spans.groupBy("doc_id", "tie").agg(F.collect_set(F.struct("begin", "stop")).alias("spans")), "spans"
+    )
+    # Texts without a repeat stay where they are; the others are shuffled to their spans.
+    touched = maybe_in(bit_filter(spans, "tie", FILTER_BITS))
     same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.tie") == F.col("s.tie"))
-    joined = keyed.alias("d").join(spans.alias("s"), same, "left").select("d.doc_id", "text", "spans")
+    joined = (
+        keyed.where(touched("tie")).alias("d").join(spans.alias("s"), same, "left").select("d.doc_id", "text", "spans")
+    ).unionByName(
+        keyed.where(~touched("tie")).select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
+    )
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
