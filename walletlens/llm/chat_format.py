@@ -56,22 +56,25 @@ def parse(rendered: Column) -> Column:
     """
     marks = F.regexp_extract_all(rendered, F.lit(f"({CONTROL})"), F.lit(1))
     pieces = F.split(rendered, CONTROL, -1)
-    indexes = F.when(F.size(marks) > 1, F.sequence(F.lit(0), (F.size(marks) / 2).cast("int") - 1))
+    # Arrays are made once and zipped: an expression inside a lambda would run again for every turn.
+    zipped = F.arrays_zip(
+        F.filter(marks, lambda m, i: i % 2 == 0).alias("opened"),
+        F.filter(marks, lambda m, i: i % 2 == 1).alias("closed"),
+        F.filter(pieces, lambda p, i: i % 2 == 1).alias("raw"),
+    )
     turns = F.transform(
-        F.coalesce(indexes, F.array().cast("array<int>")),
-        lambda i: F.struct(
-            _role_of(F.get(marks, 2 * i)).alias("role"),
-            unescape(F.get(pieces, 2 * i + 1)).alias("text"),
-            F.get(pieces, 2 * i + 1).alias("raw"),
-            (
-                (F.get(pieces, 2 * i) == "")
-                & ~F.get(marks, 2 * i).rlike(r"^(</s>|\[/)")
-                & (F.get(marks, 2 * i + 1) == closing(_role_of(F.get(marks, 2 * i))))
+        zipped,
+        lambda z: F.struct(
+            _role_of(z["opened"]).alias("role"),
+            unescape(z["raw"]).alias("text"),
+            z["raw"].alias("raw"),
+            F.coalesce(
+                ~z["opened"].rlike(r"^(</s>|\[/)") & (z["closed"] == closing(_role_of(z["opened"]))), F.lit(False)
             ).alias("good"),
         ),
     )
-    whole = (F.size(marks) % 2 == 0) & (F.element_at(pieces, -1) == "")
-    return F.when(whole & F.forall(turns, lambda t: t["good"]), turns)
+    gaps = F.array_join(F.filter(pieces, lambda p, i: i % 2 == 0), "")
+    return F.when((gaps == "") & F.forall(turns, lambda t: t["good"]), turns)
 
 
 def _rendered(role: Column, body: Column) -> Column:
