@@ -26,7 +26,7 @@ from walletlens.llm.common import bit_filter, map_batches, maybe_in
 
 LENGTH = 400
 GRAM = 48
-CHUNK = 256
+CHUNK = 2048
 PIECE = 1 << 19
 SORTED_AT_ONCE = 40_000
 FILTER_BITS = 1 << 24
