@@ -287,6 +287,19 @@ def test_page(page, text):
     assert html_extract.main_text(page) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<html><head><title>x</title><meta charset=utf-8><body><p>All of it.</p></body></html>", "All of it."),
+    ("<head><title>x<body><p>All of it.</p>", "All of it."),
+    ("<head><link rel=a><script>1</script><p>All of it.</p>", "All of it."),
+    ("<p>Before <svg class='i' /> and <math/> after.</p><p>More.</p>", "Before and after. More."),
+    ("<p>A <svg><title>t</title><path d='M0'/><text>no</text></svg>b.</p>", "A b."),
+    ("<p>A</p><iframe src='x'><p>All of it.</p>", "A All of it."),
+    ("<p>A</p><script>if (a) { '<p>no</p>'", "A"),
+])
+def test_heads_and_raw_elements_take_no_text_with_them(page, text):
+    assert html_extract.main_text(page) == text
+
+
 def test_pages_table(spark):
     schema = "page_id long, url string, html string, text string, n_chars string"
     rows = [(1, "u", None, "x", "y"), (1, "u", None, "x", "y"), (2, None, "<p>" + LONG, "x", "y")]

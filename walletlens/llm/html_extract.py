@@ -21,10 +21,11 @@ WINDOW_LINES = 3
 LEAST_SUM = 86
 LEAST_SHARE = 0.5
 
-# Elements whose content is never text of the page, and those that are boilerplate as a whole.
-RAW = "script style noscript template iframe svg math object canvas textarea head".split()
+# Elements whose content is no markup, those whose markup is never text of the page, and boilerplate.
+RAW = "script style iframe textarea title".split()
+FOREIGN = frozenset("noscript template svg math object canvas".split())
 BOILERPLATE = frozenset(
-    "nav footer aside form button select menu dialog figure-ad header noscript option label input".split()
+    "nav footer aside form button select menu dialog figure-ad header option label input".split()
 )
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q s samp small span "
@@ -42,11 +43,25 @@ _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]
 _HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?until)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>" + "|".join(RAW) + r")\b(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[!?/][^>]*>",
     re.S | re.I,
 )
+_RAW_ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
+_RAW_ENDS["title"] = re.compile(r"</title\s*>|(?=</?(?:head|body|title)\b)", re.I)
+
+
+def _after_raw(html: str, name: str, at: int) -> int:
+    """Where the content of a raw element that starts at ``at`` ends.
+
+    Without an end tag scripts and styles are cut off by the end of the page, unless written as empty; a
+    title ends at the next tag; of the others nothing is dropped.
+    """
+    if end := _RAW_ENDS[name].search(html, at):
+        return end.end()
+    if name == "title":
+        return at + len(html[at:].partition("<")[0])
+    return len(html) if name in ("script", "style") and html[at - 2] != "/" else at
 
 
 def _is_boilerplate(name: str, rest: str, in_article: bool) -> bool:
@@ -94,14 +109,17 @@ def page_lines(html: str) -> tuple[list[str], list[bool]]:
         inside.extend([depth > 0] * WINDOW_LINES)
 
     at = 0
-    for m in _MARKUP.finditer(html):
+    while m := _MARKUP.search(html, at):
         if not skipped and m.start() > at:
             add(html[at : m.start()])
         at = m.end()
         name = m.group("name")
         if name is None:
-            continue  # comments, raw elements, declarations
+            continue  # comments, declarations
         name, ends = name.lower(), bool(m.group("end"))
+        if name in _RAW_ENDS:
+            at = at if ends else _after_raw(html, name, at)
+            continue
         if name in CONTAINERS:
             # An article ends any boilerplate element left open before it.
             if skipped and not ends and name in skipped:
@@ -123,8 +141,9 @@ def page_lines(html: str) -> tuple[list[str], list[bool]]:
             elif not ends and name not in VOID and not m.group("rest").endswith("/"):
                 skipped.append(name)
             continue
-        if not ends and _is_boilerplate(name, m.group("rest"), depth > 0):
-            barrier()
+        if not ends and (name in FOREIGN or _is_boilerplate(name, m.group("rest"), depth > 0)):
+            if name not in FOREIGN:
+                barrier()
             if name not in VOID and not m.group("rest").endswith("/"):
                 skipped.append(name)
         elif name == "a":
