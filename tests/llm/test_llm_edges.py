@@ -300,6 +300,27 @@ def test_heads_and_raw_elements_take_no_text_with_them(page, text):
     assert html_extract.main_text(page) == text
 
 
+BODY = ("long text " * 20).strip()
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<div class='post has-sidebar'><p>{BODY}</p></div>", BODY),
+    (f"<div class='layout no-sidebar'><p>{BODY}</p><div class='cookie-banner'>no</div></div>", BODY),
+    (f"<div class='overflow-hidden' data-id='menu' aria-hidden='false'><p>{BODY}</p></div>", BODY),
+    ("<article><h2 id='related-work'>A</h2><section id='menu'>B</section><p id='notice'>C</p></article>", "A B C"),
+    (f"<p class='ad'>no<p>{BODY}", BODY),
+    (f"<ul><li class=ad>no</ul><p>{BODY}</p>", BODY),
+    (f"<div><p class='ad'>no</div>{BODY}", BODY),
+    (f"<div><div class='ad'>no<p>no</p></section></div></div><p>{BODY}</p>", BODY),
+    (f"<div><section class='ad'>no<div>no</div></div><p>{BODY}</p>", BODY),
+    (f"<div><a name='x'><p>{BODY}</p><p>{BODY}</p></div>", f"{BODY} {BODY}"),
+    (f"<div><span class='ad'>no<p>{BODY}</p></div>", BODY),
+    (f"<p>{BODY}</p><ul><li><a href=/a/>no</a><li><a href=b><div>no</div></a></ul>", BODY),
+])
+def test_names_and_omitted_end_tags_take_no_text_with_them(page, text):
+    assert html_extract.main_text(page) == text
+
+
 def test_pages_table(spark):
     schema = "page_id long, url string, html string, text string, n_chars string"
     rows = [(1, "u", None, "x", "y"), (1, "u", None, "x", "y"), (2, None, "<p>" + LONG, "x", "y")]

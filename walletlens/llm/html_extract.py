@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -33,14 +34,59 @@ INLINE = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CONTAINERS = frozenset(("article", "main"))
-BOILERPLATE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|banner|breadcrumbs?|comments?|comment-list|cookies?|consent|"
-    r"disqus|footer|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|popup|promo|related|respond|"
-    r"share|sharing|sidebar|social|sponsored|sponsor|subscribe|toolbar|widget)(?:$|[\s_-])",
-    re.I,
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+BLOCKS = HEADINGS | frozenset(
+    "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
+    "footer form header hgroup hr html li main menu nav ol p pre search section summary table tbody td tfoot th thead "
+    "tr ul".split()
 )
-_NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?until)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+# Words that name boilerplate in a class, id or role, alone or joined to each other and to those around them.
+BOILERPLATE_WORDS = frozenset(
+    "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments cookie cookies consent disqus "
+    "footer masthead menu modal nav navbar navigation newsletter notice popup promo related respond share sharing "
+    "sidebar social sponsored sponsor subscribe toolbar widget".split()
+)
+AROUND_WORDS = frozenset(
+    "area articles bar block bottom box button buttons form global icons links list main message overlay posts primary "
+    "secondary signup site slot stories top unit".split()
+)
+# Those a section can be about; an id is also the target of links to a section.
+TOPICS = frozenset(
+    "ad ads advert adverts advertisement banner consent cookie cookies menu navigation notice promo related share "
+    "sharing social sponsored sponsor subscribe toolbar widget".split()
+)
+# Elements whose id only is a target of links.
+TARGETS = HEADINGS | frozenset("p li dt dd a span".split())
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
+_EMPTY = re.compile(r"""(?:^|[\s"'])/\Z""")
+
+# Where an element is sought among the open ones: not beyond these.
+SCOPES = frozenset("table td th caption template object".split())
+_LISTS = SCOPES | frozenset("ul ol menu dir".split())
+_TABLE = frozenset(("table",))
+_END_SCOPES = {"li": _LISTS, "table": frozenset(), "template": frozenset(), "object": frozenset()} | dict.fromkeys(
+    "caption td th tr tbody thead tfoot".split(), _TABLE
+)
+# Start tag -> the elements it ends if their end tag is left out, and where the search for them stops.
+_IMPLIED = {
+    "li": (frozenset(("li",)), _LISTS),
+    "dt": (frozenset(("dt", "dd")), SCOPES | {"dl"}),
+    "dd": (frozenset(("dt", "dd")), SCOPES | {"dl"}),
+    "td": (frozenset(("td", "th", "caption")), frozenset(("tr", "table"))),
+    "th": (frozenset(("td", "th", "caption")), frozenset(("tr", "table"))),
+    "tr": (frozenset(("tr", "caption")), _TABLE),
+    "tbody": (frozenset(("tbody", "thead", "tfoot", "caption")), _TABLE),
+    "thead": (frozenset(("tbody", "thead", "tfoot", "caption")), _TABLE),
+    "tfoot": (frozenset(("tbody", "thead", "tfoot", "caption")), _TABLE),
+    "option": (frozenset(("option",)), SCOPES | {"select"}),
+    "a": (frozenset(("a",)), SCOPES),
+    "button": (frozenset(("button",)), SCOPES),
+}
+_ENDS_P = BLOCKS - frozenset("body html caption td th tr tbody thead tfoot summary figcaption".split())
+_DRAWN = frozenset(("svg", "math"))
+_HTML_IN_DRAWN = frozenset("foreignobject desc annotation-xml mtext".split())
+
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
@@ -64,17 +110,112 @@ def _after_raw(html: str, name: str, at: int) -> int:
     return len(html) if name in ("script", "style") and html[at - 2] != "/" else at
 
 
+def _names_boilerplate(token: str, but: frozenset = frozenset()) -> bool:
+    words = [w for w in re.split("[-_]+", token) if w]
+    named = BOILERPLATE_WORDS - but
+    return any(w in named for w in words) and all(w in named or w in AROUND_WORDS for w in words)
+
+
 def _is_boilerplate(name: str, rest: str, in_article: bool) -> bool:
-    if name in CONTAINERS or name in ("html", "body"):
+    if name in CONTAINERS or name in ("html", "head", "body"):
         return False
     if name == "header":  # an article's own header holds its title
         return not in_article
     if name in BOILERPLATE:
         return True
-    if "=" not in rest and "hidden" not in rest:
+    if "=" not in rest and "hidden" not in rest.lower():
+        return False
+    found: dict[str, str] = {}
+    for attribute, *values in _ATTRIBUTE.findall(rest):
+        found.setdefault(attribute.lower(), "".join(values).lower())
+    if found.get("hidden", "until-found") != "until-found" or found.get("aria-hidden") == "true":
+        return True
+    tokens = f"{found.get('class', '')} {found.get('role', '')}".split()
+    if "hidden" in tokens or any(map(_names_boilerplate, tokens)) or _NO_DISPLAY.search(found.get("style", "")):
+        return True
+    if name in TARGETS:
         return False
-    names = " ".join("".join(m) for m in _NAMED.findall(rest))
-    return bool(BOILERPLATE_NAMES.search(names) or _HIDDEN.search(rest))
+    but = TOPICS if in_article or name == "section" else frozenset()
+    return any(_names_boilerplate(token, but) for token in found.get("id", "").split())
+
+
+#: (text before the tag, name, whether it is an end tag, attributes)
+Tag = tuple[str, str, bool, str]
+
+
+def page_tags(html: str) -> list[Tag]:
+    """All tags with the text before each, without comments and raw elements; the last has no name."""
+    tags, at, text = [], 0, []
+    while m := _MARKUP.search(html, at):
+        text.append(html[at : m.start()])
+        at = m.end()
+        if m.group("name") is None:
+            continue  # comments, declarations
+        name, ends = m.group("name").lower(), bool(m.group("end"))
+        if name in _RAW_ENDS:
+            at = at if ends else _after_raw(html, name, at)
+            continue
+        tags.append(("".join(text), name, ends, m.group("rest")))
+        text = []
+    text.append(re.sub(r"<[!/a-zA-Z][^>]*\Z", "", html[at:]))  # a tag cut off by the end of the page
+    tags.append(("".join(text), "", True, ""))
+    return tags
+
+
+def element_ends(tags: list[Tag]) -> tuple[list[int], list[bool]]:
+    """For each start tag the place of the tag that ends its element, and whether that is its own end tag.
+
+    End tags may be left out: an element also ends with the one around it, and p, li and their like before
+    what they cannot hold.  Void and empty elements end where they start.
+    """
+    last = len(tags) - 1
+    ends_at, closed = list(range(len(tags))), [False] * len(tags)
+    opened: list[int] = []
+    count = Counter()
+
+    def pop(depth: int, at: int) -> None:
+        for i in opened[depth:]:
+            ends_at[i] = at
+            count[tags[i][1]] -= 1
+        del opened[depth:]
+
+    def seek(names, stops) -> int:
+        """Depth of the innermost open element among ``names``, or -1."""
+        if any(count[n] for n in names):
+            for depth in range(len(opened) - 1, -1, -1):
+                name = tags[opened[depth]][1]
+                if name in names:
+                    return depth
+                if name in stops:
+                    break
+        return -1
+
+    for at, (_, name, ends, rest) in enumerate(tags):
+        if ends:
+            if name in ("", "html", "body"):
+                continue
+            depth = seek((name,), _END_SCOPES.get(name, SCOPES))
+            if depth < 0:
+                continue
+            closed[opened[depth]] = True
+            if name in INLINE and any(tags[i][1] in BLOCKS for i in opened[depth:]):
+                ends_at[opened[depth]] = at  # blocks opened within stay open
+                count[name] -= 1
+                del opened[depth]
+            else:
+                pop(depth, at)
+            continue
+        if name in BLOCKS and (depth := seek(_DRAWN, _HTML_IN_DRAWN)) >= 0:
+            pop(depth, at)
+        if name in _ENDS_P and (depth := seek(("p",), BLOCKS)) >= 0:
+            pop(depth, at)
+        if name in _IMPLIED and (depth := seek(*_IMPLIED[name])) >= 0:
+            pop(depth, at)
+        if name not in VOID and not _EMPTY.search(rest):
+            opened.append(at)
+            count[name] += 1
+    pop(0, last)
+    return ends_at, closed
 
 
 def page_lines(html: str) -> tuple[list[str], list[bool]]:
@@ -82,77 +223,74 @@ def page_lines(html: str) -> tuple[list[str], list[bool]]:
 
     Outside articles a line of links alone is a menu entry and leaves an empty line.
     """
+    tags = page_tags(html)
+    ends_at, closed = element_ends(tags)
     lines: list[str] = []
     inside: list[bool] = []
     parts: list[str] = []
-    skipped: list[str] = []  # open elements from the boilerplate element down
-    depth = 0  # open containers
-    in_link = plain = False  # inside <a>; the line has text outside links
-
-    def add(text: str) -> None:
-        nonlocal plain
-        parts.append(text)
-        plain = plain or not in_link and not text.isspace()
+    holders: list[int] = []  # ends of the open containers
+    plain = False  # the line has text outside links
+    link_end, link_open = -1, False  # the end of a link; whether one without an end tag is open
+    skip_end, whole, to_block = -1, False, False  # the boilerplate element that is left out
+    resumed: list[int] = []  # ends of containers within boilerplate, each before the end of that
+    after: list[int] = []
 
     def close() -> None:
         nonlocal plain
         text = " ".join(entities.unescape("".join(parts)).split())
         if text:
-            lines.append(text if plain or depth else "")
-            inside.append(depth > 0)
+            lines.append(text if plain or holders else "")
+            inside.append(bool(holders))
         parts.clear()
         plain = False
 
     def barrier() -> None:
         close()
         lines.extend([""] * WINDOW_LINES)
-        inside.extend([depth > 0] * WINDOW_LINES)
+        inside.extend([bool(holders)] * WINDOW_LINES)
 
-    at = 0
-    while m := _MARKUP.search(html, at):
-        if not skipped and m.start() > at:
-            add(html[at : m.start()])
-        at = m.end()
-        name = m.group("name")
-        if name is None:
-            continue  # comments, declarations
-        name, ends = name.lower(), bool(m.group("end"))
-        if name in _RAW_ENDS:
-            at = at if ends else _after_raw(html, name, at)
-            continue
-        if name in CONTAINERS:
-            # An article ends any boilerplate element left open before it.
-            if skipped and not ends and name in skipped:
-                skipped.append(name)
-            elif not ends:
-                skipped.clear()
-                close()
-                depth += 1
-            elif name in skipped:
-                del skipped[len(skipped) - 1 - skipped[::-1].index(name) :]
-            else:
-                skipped.clear()
-                close()
-                depth = max(0, depth - 1)
-            continue
-        if skipped:
-            if ends and name in skipped:
-                del skipped[len(skipped) - 1 - skipped[::-1].index(name) :]
-            elif not ends and name not in VOID and not m.group("rest").endswith("/"):
-                skipped.append(name)
+    for at, (text, name, ends, rest) in enumerate(tags):
+        container = name in CONTAINERS and not ends
+        if skip_end < 0:
+            if text:
+                parts.append(text)
+                plain = plain or not (link_open or at <= link_end) and not text.isspace()
+        elif at >= skip_end or to_block and name in BLOCKS:
+            skip_end = -1
+        elif container:
+            if whole:  # what is left of the boilerplate element after the container is left out too
+                resumed.append(ends_at[at])
+                after.append(skip_end)
+            skip_end = -1
+        else:
             continue
-        if not ends and (name in FOREIGN or _is_boilerplate(name, m.group("rest"), depth > 0)):
+        while holders and holders[-1] <= at:
+            close()
+            holders.pop()
+        if resumed and resumed[-1] <= at:
+            resumed.pop()
+            skip_end, whole, to_block = after.pop(), True, False
+            if at < skip_end:
+                continue
+            skip_end = -1
+        if name in BLOCKS:
+            link_open = False
+        if container:
+            close()
+            holders.append(ends_at[at])
+        elif not ends and (name in FOREIGN or _is_boilerplate(name, rest, bool(holders))):
             if name not in FOREIGN:
                 barrier()
-            if name not in VOID and not m.group("rest").endswith("/"):
-                skipped.append(name)
+            if ends_at[at] > at:
+                # Without its own end tag an element is left out up to the next container, or block if it is inline.
+                skip_end, whole, to_block = ends_at[at], closed[at], not closed[at] and name not in BLOCKS
         elif name == "a":
-            in_link = not ends
-        elif name not in INLINE:
+            if not ends:
+                link_end, link_open = ends_at[at] if closed[at] else -1, not closed[at] and ends_at[at] > at
+            else:
+                link_open = False
+        elif name not in INLINE and name not in FOREIGN:
             close()
-    if not skipped and at < len(html):
-        rest = html[at:]
-        add(re.sub(r"<[!/a-zA-Z][^>]*\Z", "", rest))  # a tag cut off by the end of the page
     close()
     return lines, inside
 
