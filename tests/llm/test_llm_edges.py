@@ -321,6 +321,18 @@ def test_names_and_omitted_end_tags_take_no_text_with_them(page, text):
     assert html_extract.main_text(page) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    (f"<div><p>{BODY}</p><p>{BODY}</p></div><article>Teaser</article>", f"{BODY} {BODY}"),
+    (f"<div><p>{BODY}</p></div><aside><article>{BODY} teaser</article></aside>", BODY),
+    (f"<div><p>{BODY}</p></div><div class=comments><article><p>{BODY} me too</p></article></div>", BODY),
+    (f"<article><h1>T</h1><p>{BODY}</p><div class='ad'>no</div><p>End</p></article><div>Imprint</div>", f"T {BODY} End"),
+    (f"<form><p>no</p><main><p>{BODY}</p><form>no</form></main><p>no</p></form><p>no</p>", BODY),
+    (f"<main><h1>T</h1><article>{BODY}</article><p>End</p></main>", f"T {BODY} End"),
+])
+def test_lines_outside_articles_count(page, text):
+    assert html_extract.main_text(page) == text
+
+
 def test_pages_table(spark):
     schema = "page_id long, url string, html string, text string, n_chars string"
     rows = [(1, "u", None, "x", "y"), (1, "u", None, "x", "y"), (2, None, "<p>" + LONG, "x", "y")]

@@ -3,8 +3,9 @@
 Markup is stripped to lines, one per block element.  Boilerplate elements leave empty lines behind,
 so the sum of text lengths over a sliding window of lines falls to zero there.  A surge is a place
 where that sum rises from zero, a dive where it falls back; the text between a surge and its dive is
-kept if its greatest window sum reaches the threshold.  Where a page names its article (``article``
-or ``main``), only lines inside it count, so its edges are the surge and the dive.
+kept if its greatest window sum reaches the threshold.  The outermost ``article`` or ``main`` adds
+empty lines at its edges, boilerplate within it none, and its lines weigh ``CONTAINER_WEIGHT`` times as
+much; text outside is measured by the same sums.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from walletlens.llm.common import per_text
 WINDOW_LINES = 3
 LEAST_SUM = 86
 LEAST_SHARE = 0.5
+CONTAINER_WEIGHT = 2
 
 # Elements whose content is no markup, those whose markup is never text of the page, and boilerplate.
 RAW = "script style iframe textarea title".split()
@@ -232,8 +234,9 @@ def page_lines(html: str) -> tuple[list[str], list[bool]]:
     plain = False  # the line has text outside links
     link_end, link_open = -1, False  # the end of a link; whether one without an end tag is open
     skip_end, whole, to_block = -1, False, False  # the boilerplate element that is left out
+    wraps = False  # it may hold the article, as a form around the page does
     resumed: list[int] = []  # ends of containers within boilerplate, each before the end of that
-    after: list[int] = []
+    after: list[tuple[int, bool]] = []
 
     def close() -> None:
         nonlocal plain
@@ -246,8 +249,10 @@ def page_lines(html: str) -> tuple[list[str], list[bool]]:
 
     def barrier() -> None:
         close()
+        if holders:
+            return
         lines.extend([""] * WINDOW_LINES)
-        inside.extend([bool(holders)] * WINDOW_LINES)
+        inside.extend([False] * WINDOW_LINES)
 
     for at, (text, name, ends, rest) in enumerate(tags):
         container = name in CONTAINERS and not ends
@@ -257,26 +262,27 @@ def page_lines(html: str) -> tuple[list[str], list[bool]]:
                 plain = plain or not (link_open or at <= link_end) and not text.isspace()
         elif at >= skip_end or to_block and name in BLOCKS:
             skip_end = -1
-        elif container:
+        elif container and (not whole or name == "main" or wraps):
             if whole:  # what is left of the boilerplate element after the container is left out too
                 resumed.append(ends_at[at])
-                after.append(skip_end)
+                after.append((skip_end, wraps))
             skip_end = -1
         else:
             continue
         while holders and holders[-1] <= at:
             close()
             holders.pop()
+            barrier()
         if resumed and resumed[-1] <= at:
             resumed.pop()
-            skip_end, whole, to_block = after.pop(), True, False
+            (skip_end, wraps), whole, to_block = after.pop(), True, False
             if at < skip_end:
                 continue
             skip_end = -1
         if name in BLOCKS:
             link_open = False
         if container:
-            close()
+            barrier()
             holders.append(ends_at[at])
         elif not ends and (name in FOREIGN or _is_boilerplate(name, rest, bool(holders))):
             if name not in FOREIGN:
@@ -284,6 +290,7 @@ def page_lines(html: str) -> tuple[list[str], list[bool]]:
             if ends_at[at] > at:
                 # Without its own end tag an element is left out up to the next container, or block if it is inline.
                 skip_end, whole, to_block = ends_at[at], closed[at], not closed[at] and name not in BLOCKS
+                wraps = name == "form"
         elif name == "a":
             if not ends:
                 link_end, link_open = ends_at[at] if closed[at] else -1, not closed[at] and ends_at[at] > at
@@ -299,16 +306,12 @@ def main_text(html: str) -> str:
     """The page's main text; empty if it has none."""
     lines, inside = page_lines(html)
     lengths = np.array([len(line) for line in lines], dtype=np.int64)
-    if any(i and n for i, n in zip(inside, lengths)):
-        lengths[~np.array(inside)] = 0
-        threshold = 1
-    else:
-        threshold = LEAST_SUM
-    padded = np.concatenate([lengths, np.zeros(WINDOW_LINES - 1, np.int64)])
+    weighted = np.where(np.array(inside, bool), CONTAINER_WEIGHT * lengths, lengths)
+    padded = np.concatenate([weighted, np.zeros(WINDOW_LINES - 1, np.int64)])
     sums = np.convolve(padded, np.ones(WINDOW_LINES, np.int64), "valid")
     if not len(sums) or not sums.max():
         return ""
-    threshold = min(threshold, LEAST_SHARE * sums.max())
+    threshold = min(LEAST_SUM, LEAST_SHARE * sums.max())
     rising = np.diff((sums > 0).astype(np.int8), prepend=0, append=0)
     kept = []
     for surge, dive in zip(np.flatnonzero(rising > 0), np.flatnonzero(rising < 0)):
