@@ -127,6 +127,21 @@ def test_leaks(spark, docs, nothing):
     assert decontaminate.clean_documents(docs, items).columns == docs.columns
 
 
+def test_leaks_beyond_the_rank_of_the_space(spark):
+    rng = random.Random(5)
+    vocabulary = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    texts = [" ".join(rng.choices(vocabulary, k=300)) for _ in range(60)]
+    items = {}
+    for i in range(900):
+        words = texts[i % 60].split()
+        at, n = rng.randrange(250), rng.choice([3, 4, 5, 6, 7, 9, 12, 15, 20, 40])
+        items[i] = " ".join(words[at : at + n])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = decontaminate.find_leaks(docs, spark.createDataFrame(list(items.items()), "item_id long, text string"))
+    copies = {(d, i) for d, t in enumerate(texts) for i, x in items.items() if f" {x} " in f" {t} "}
+    assert len(copies) >= 900 and copies <= {(r["doc_id"], r["item_id"]) for r in found.collect()}
+
+
 @given(st.lists(st.sampled_from([b"a", b"b", b"c"]), max_size=12), st.lists(st.sampled_from([b"a", b"b", b"d"]), max_size=12))
 @settings(max_examples=80, deadline=None)
 def test_common_subsequence(a, b):

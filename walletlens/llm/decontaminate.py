@@ -9,6 +9,11 @@ loosely related text stays.
 
 Words are hashed to ``SLOTS`` columns, which bounds every table that is sent to tasks; passages are
 compared in blocks of ``BLOCK_PASSAGES``.
+
+The space has a fixed rank, so with many passages it loses some.  Runs of a passage's words, one after
+the other over all of it, are therefore also looked up by hash in all documents, by a join; what they
+find passes the same checks.  A verbatim copy holds all of a passage's runs, and one with fewer changes
+than runs holds at least one.
 """
 
 from __future__ import annotations
@@ -18,11 +23,11 @@ import zlib
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from walletlens.functions.shared_storage import written
-from walletlens.llm.common import map_batches
+from walletlens.functions.shared_storage import broadcast_if_at_most, written
+from walletlens.llm.common import bit_filter, bits_on, map_batches
 
 SLOTS = 1 << 17
 DIMENSIONS = 128
@@ -37,6 +42,11 @@ LEAST_MASS = 0.5
 LEAST_COMMON = 0.7
 LEAST_ANSWER = 0.5
 BLOCK_PASSAGES = 1024
+RUN_WORDS = 5  # 3 in passages of fewer than 10 words; passages of 3 to 5 words are one run
+LEAST_RUN = 3
+SHARED_RUN = 16
+FILTER_BITS = (1 << 20, 1 << 28)
+BROADCAST_RUNS = 20_000
 CACHED_WORDS = 400_000
 
 # Signs and white space become spaces, A-Z become lower case; other bytes stay.
@@ -216,7 +226,10 @@ def _checked(index: LatentIndex, words: list[bytes], window: int, passage: int)
     """Shares of the passage's and of the answer's words that the window and its surroundings hold in order."""
     _, wanted, answer = index.items[passage]
     low = max(0, window * STRIDE - PASSAGE_WORDS)
-    near = words[low : window * STRIDE + WINDOW_WORDS + PASSAGE_WORDS]
+    return _shares(wanted, answer, words[low : window * STRIDE + WINDOW_WORDS + PASSAGE_WORDS])
+
+
+def _shares(wanted: list[bytes], answer: list[bytes], near: list[bytes]) -> tuple[float, float]:
     there = set(near)
     if sum(w in there for w in wanted) < LEAST_COMMON * len(wanted):  # bounds the subsequence
         return 0.0, 0.0
@@ -251,10 +264,107 @@ def _search(docs: DataFrame, index: LatentIndex) -> DataFrame:
     )
 
 
+def run_length(n_words: int) -> int:
+    """Words of each run of a passage, 0 if it is too short for one."""
+    return RUN_WORDS if n_words >= 2 * RUN_WORDS else LEAST_RUN if n_words >= 2 * LEAST_RUN else (
+        n_words if n_words >= LEAST_RUN else 0
+    )
+
+
+def run_hashes(words: np.ndarray, n: int) -> np.ndarray:
+    """One hash for each run of ``n`` words; ``words``: a number for each word."""
+    places = max(0, len(words) - n + 1)
+    hashes = np.full(places, n, np.int64)
+    for i in range(n):
+        hashes = hashes * np.int64(0x9E3779B97F4A7C1) + words[i : i + places]
+    return hashes ^ (hashes >> np.int64(29))
+
+
+def _numbers(known: Remembered, words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+
+
+def passage_runs(passages: DataFrame) -> DataFrame:
+    """run, item_id, words, answer: the runs by which each passage is looked up.
+
+    A run that more than ``SHARED_RUN`` passages have is left to the passage's others, if it has any.
+    """
+
+    def cut(batches):
+        known = Remembered(zlib.crc32)
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                words = row["words"].split()
+                if n := run_length(len(words)):
+                    for h in set(run_hashes(_numbers(known, words), n)[::n].tolist()):
+                        rows.append((h, n, row["item_id"], row["k"], row["words"], row["answer"]))
+            names = ("run", "n", "item_id", "k", "words", "answer")
+            yield {name: [row[i] for row in rows] for i, name in enumerate(names)}
+
+    schema = "run long, n int, item_id long, k int, words binary, answer binary"
+    runs = map_batches(passages.select("item_id", "k", "words", "answer"), cut, schema)
+    shared = runs.groupBy("run").agg(F.count("*").alias("shared"))
+    rarest = Window.partitionBy("item_id", "k", "words").orderBy("shared", "run")
+    ranked = runs.join(shared, "run").withColumn("rank", F.row_number().over(rarest))
+    return ranked.where((F.col("shared") <= SHARED_RUN) | (F.col("rank") == 1)).select(
+        "run", "n", "item_id", "words", "answer"
+    )
+
+
+def _look_up(docs: DataFrame, passages: DataFrame) -> DataFrame:
+    """Documents that hold a run of a passage and pass the checks around it; cosine is null."""
+    runs = written(passage_runs(passages), "runs")
+    total = runs.count()
+    lengths = [r["n"] for r in runs.select("n").distinct().collect()]  # at most RUN_WORDS
+    low, high = FILTER_BITS
+    filtered = bit_filter(runs, "run", min(high, max(low, 1 << (1024 * total).bit_length())))
+
+    def places(batches):
+        known = Remembered(zlib.crc32)
+        for batch in batches:
+            out = {"row": [], "run": [], "near": []}
+            for r, text in enumerate(batch.column("text").to_pylist()):
+                words = plain_words(text)
+                numbers = _numbers(known, words)
+                found = set()
+                for n in lengths:
+                    hashes = run_hashes(numbers, n)
+                    for at in np.flatnonzero(bits_on(filtered, hashes)).tolist():
+                        near = words[max(0, at - PASSAGE_WORDS) : at + n + PASSAGE_WORDS]
+                        found.add((int(hashes[at]), b" ".join(near)))
+                for run, near in found:
+                    for name, value in zip(out, (r, run, near)):
+                        out[name].append(value)
+            rows = out.pop("row")
+            yield {"doc_id": batch.column("doc_id").take(rows) if rows else [], **out}
+
+    def check(batches):
+        for batch in batches:
+            rows, item_ids, commons, answers = [], [], [], []
+            for r, row in enumerate(batch.select(["item_id", "words", "answer", "near"]).to_pylist()):
+                common, answer = _shares(row["words"].split(), row["answer"].split(), row["near"].split())
+                if common >= LEAST_COMMON and answer >= LEAST_ANSWER:
+                    rows.append(r)
+                    item_ids.append(row["item_id"])
+                    commons.append(common)
+                    answers.append(answer)
+            yield {
+                "doc_id": batch.column("doc_id").take(rows) if rows else [], "item_id": item_ids,
+                "cosine": [None] * len(rows), "common_share": commons, "answer_share": answers,
+            }
+
+    kind = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}"
+    near = map_batches(docs.select("doc_id", "text"), places, f"{kind}, run long, near binary")
+    joined = near.join(broadcast_if_at_most(runs.drop("n"), BROADCAST_RUNS), "run")
+    schema = f"{kind}, item_id long, cosine double, common_share double, answer_share double"
+    return map_batches(joined.select("doc_id", "near", "item_id", "words", "answer"), check, schema)
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, cosine, common_share, answer_share for each document that holds a benchmark item.
 
-    All documents are searched whole. Null or wordless items and texts match nothing; repeated rows of
+    All documents are searched whole; cosine is null where only a run of words led to the item. Null or wordless items and texts match nothing; repeated rows of
     either table count once per (doc_id, item_id), with their best match; items need a doc of any id, null
     included. Other columns are ignored; empty tables give no rows.
     """
@@ -301,7 +411,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     space = latent_space(passages.select("slots", "counts"), columns, weights, len(slots))
     word_vectors = (space * weights[slots][:, None]).astype(np.float32)
 
-    found = None
+    found = _look_up(docs, passages)
     for block in _blocks(passages.select("item_id", "words", "answer").orderBy("item_id", "k")):
         vectors, items = [], []
         for row in block:
@@ -312,7 +422,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         lengths = np.linalg.norm(vectors, axis=1)
         directions = np.array(vectors) / np.maximum(lengths, 1e-30)[:, None]
         hits = _search(docs, LatentIndex(columns, word_vectors, directions, lengths, items))
-        found = hits if found is None else found.unionByName(hits)
+        found = found.unionByName(hits)
     return found.groupBy("doc_id", "item_id").agg(
         *[F.max(c).alias(c) for c in ("cosine", "common_share", "answer_share")]
     )
