@@ -127,6 +127,26 @@ def test_leaks(spark, docs, nothing):
     assert decontaminate.clean_documents(docs, items).columns == docs.columns
 
 
+def test_leaks_without_the_last_sentence(spark):
+    rng = random.Random(8)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    head, tail = [word() for _ in range(36)], [word() for _ in range(9)]
+    loose = head[:18] + [word() for _ in range(3)] + head[18:]
+    items = [(1, f"{' '.join(head)}. Zanzibar."), (2, f"{' '.join(head[::-1])}. {' '.join(tail)}.")]
+    filler = [(i, " ".join(word() for _ in range(200))) for i in range(100, 140)]
+    docs = [
+        (1, f"{' '.join(loose)}. Madagascar."),  # all but the last word
+        (2, " ".join(head)),  # lacks the last sentence of one word
+        (3, " ".join(head[::-1] + [word() for _ in range(9)])),  # the question with another answer
+        (4, " ".join(head[::-1] + tail[:6])),  # most of the answer
+    ]
+    found = decontaminate.find_leaks(
+        spark.createDataFrame(docs + filler, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"),
+    ).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(1, 1), (2, 1), (4, 2)}
+
+
 def test_leaks_beyond_the_rank_of_the_space(spark):
     rng = random.Random(5)
     vocabulary = [f"w{rng.randrange(10**6)}" for _ in range(400)]

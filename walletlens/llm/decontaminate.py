@@ -4,8 +4,8 @@ Benchmark items are cut into passages and weighted by TF-IDF; document frequenci
 document of the corpus.  A randomised singular value decomposition, whose products with the passage
 matrix are Spark jobs over its rows, gives a latent space.  Each document is read in overlapping
 windows, projected, and compared by cosine with all passages; a candidate then has to hold the
-item's words in order (longest common subsequence) and those of its answer, so that reordered or
-loosely related text stays.
+item's words in order (longest common subsequence) and, unless it is nearly verbatim, those of its
+answer, so that reordered or loosely related text stays.
 
 Words are hashed to ``SLOTS`` columns, which bounds every table that is sent to tasks; passages are
 compared in blocks of ``BLOCK_PASSAGES``.
@@ -41,6 +41,8 @@ LEAST_COSINE = 0.5
 LEAST_MASS = 0.5
 LEAST_COMMON = 0.7
 LEAST_ANSWER = 0.5
+NEAR_VERBATIM = 0.9
+LEAST_ANSWER_WORDS = 3
 BLOCK_PASSAGES = 1024
 RUN_WORDS = 5  # 3 in passages of fewer than 10 words; passages of 3 to 5 words are one run
 LEAST_RUN = 3
@@ -99,6 +101,10 @@ def answer_of(text: str | None) -> list[bytes]:
     return []
 
 
+def _is_leak(common: float, answer: float) -> bool:
+    return common >= NEAR_VERBATIM or common >= LEAST_COMMON and answer >= LEAST_ANSWER
+
+
 def common_subsequence(a: list[bytes], b: list[bytes]) -> int:
     """Length of the longest common subsequence, with one bit per word of ``a``."""
     places: dict[bytes, int] = {}
@@ -250,7 +256,7 @@ def _search(docs: DataFrame, index: LatentIndex) -> DataFrame:
                 for window, passage, cosine in zip(*candidates(index, known.of(words))):
                     item = index.items[passage][0]
                     common, answer = _checked(index, words, int(window), int(passage))
-                    if common >= LEAST_COMMON and answer >= LEAST_ANSWER:
+                    if _is_leak(common, answer):
                         best[item] = max(best.get(item, (0.0, 0.0, 0.0)), (common, answer, float(cosine)))
                 for item, (common, answer, cosine) in best.items():
                     for name, value in zip(out, (r, item, cosine, common, answer)):
@@ -344,7 +350,7 @@ def _look_up(docs: DataFrame, passages: DataFrame) -> DataFrame:
             rows, item_ids, commons, answers = [], [], [], []
             for r, row in enumerate(batch.select(["item_id", "words", "answer", "near"]).to_pylist()):
                 common, answer = _shares(row["words"].split(), row["answer"].split(), row["near"].split())
-                if common >= LEAST_COMMON and answer >= LEAST_ANSWER:
+                if _is_leak(common, answer):
                     rows.append(r)
                     item_ids.append(row["item_id"])
                     commons.append(common)
@@ -379,6 +385,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 for k, words in enumerate(parts):
                     slots, counts = np.unique(np.array([slot_of(w) for w in words], np.int64), return_counts=True)
                     answer = answer_of(text) if k == len(parts) - 1 else []
+                    # The last sentence stands in for an answer, which one of a few or common words cannot.
+                    if sum(cut_weights[slot_of(w)] > 0 for w in set(answer)) < LEAST_ANSWER_WORDS:
+                        answer = []
                     rows.append((item, k, b" ".join(words), b" ".join(answer), slots.tobytes(), counts.tobytes()))
             names = ("item_id", "k", "words", "answer", "slots", "counts")
             yield {name: [row[i] for row in rows] for i, name in enumerate(names)}
