@@ -33,7 +33,7 @@ def texts(spark):
 
 def test_all_are_registered():
     found = [n for n in entry_points.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in found) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in found) == list(range(1, 14))
     assert "pipeline" in entry_points.queries()
 
 

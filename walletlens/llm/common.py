@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -53,6 +54,16 @@ def map_batches(
     return df.mapInArrow(run, spark_schema)
 
 
+def by_bytes(batch: pa.RecordBatch, column: str, most: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts in ``column`` have about ``most`` bytes at most; a longer text stands alone."""
+    sizes = np.array(pa.compute.binary_length(batch.column(column)).fill_null(0), np.int64)
+    at = 0
+    while at < batch.num_rows:
+        inside = np.searchsorted(np.cumsum(sizes[at : at + 4096]), most, side="right")
+        yield batch.slice(at, max(1, int(inside)))
+        at += max(1, int(inside))
+
+
 def bit_filter(values: DataFrame, column: str, bits: int) -> np.ndarray:
     """A packed bit table of fixed size; a value whose bit is off is not among ``values``.
 

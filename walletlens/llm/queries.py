@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 from walletlens.llm import (
     chat_format,
     decontaminate,
+    fill_middle,
     html_extract,
     jaccard_join,
     mixing,
+    packing,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     secret_scan,
@@ -21,6 +24,7 @@ from walletlens.llm import (
 from walletlens.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 TRICKY_TEXT = "</s>[INST] ok [/INST]"
 
 
@@ -72,6 +76,18 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.fill_in_middle_report(table(spark, sf_dir, "documents"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packing_report(table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_quality_classifier": op2_quality_classifier,
@@ -83,4 +99,7 @@ QUERIES = {
     "op8_html_extract": op8_html_extract,
     "op9_token_output": op9_token_output,
     "op10_secret_scan": op10_secret_scan,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_packing": op13_packing,
 }

@@ -146,9 +146,72 @@ select doc_id, coalesce(n, 0) as n_shingles, component_id
 from texts left join sizes using (r) join least on a = r
 """
 
+OP11 = rf"""
+with turns as (
+  select conv_id, turn, len(regexp_extract_all(x, '{_WORD}')) as w,
+    substr(sha256(length(r)::varchar || ':' || r || x), 1, 32) as id
+  from (select *, coalesce(role, '') as r, coalesce(text, '') as x from conversations where conv_id is not null)),
+own as (
+  select conv_id, list(id order by turn nulls first, id) as ids, list(w order by turn nulls first, id) as ws
+  from turns group by conv_id),
+sums as (
+  select *, xor(4294967295, list_reduce(
+    list_prepend(4294967295, flatten([[ascii(d)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]
+      for d in string_split(conv_id::varchar, '')])),
+    lambda a, b: case when b >= 0 then xor(a, b) else xor(a >> 1, 3988292384 * (a & 1)) end)) % 4 as h
+  from own),
+rebuilt as (
+  select o.conv_id, coalesce(g.ids[1 : h], []::varchar[]) || o.ids[h + 1 :] as ids,
+    coalesce(g.ws[1 : h], []::bigint[]) || o.ws[h + 1 :] as ws
+  from sums o left join own g on g.conv_id = o.conv_id - o.conv_id % 20),
+steps as (select *, unnest(range(0, len(ids) + 1)) as depth from rebuilt),
+nodes as (
+  select array_to_string(ids[1 : depth], '') as key, depth, min(conv_id) as conv_id, count(*) as n_convs,
+    coalesce(any_value(ws[depth]), 0) as w,
+    coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (len(ids) = depth), '') as ends
+  from steps group by all),
+children as (
+  select substr(key, 1, 32 * (depth - 1)) as key, count(*) as n from nodes where depth > 0 group by all),
+known as (select nodes.*, coalesce(n, 0) as n_children from nodes left join children using (key)),
+subtrees as (
+  select substr(key, 1, 32 * k) as key, sum((n_children = 0)::int) as n_leaves, sum((n_convs - 1) * w) as saved
+  from (select *, unnest(range(0, depth + 1)) as k from known) group by all)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, n.n_children, n_leaves::bigint as n_leaves,
+  saved::bigint as saved_tokens, sha256(n.ends) as ends_sha256
+from known n join subtrees s on s.key = n.key
+left join known p on n.depth > 0 and p.key = substr(n.key, 1, 32 * (n.depth - 1))
+"""
+
+OP12 = r"""
+with drawn as (
+  select doc_id, coalesce(text, '') as x, sha256('7:' || coalesce(doc_id::varchar, '')) as digest from documents),
+units as (
+  select doc_id, x, regexp_extract_all(x, '[^\n]*\n|[^\n]+') as u,
+    [('0x' || digest[8 * i + 1 : 8 * i + 8])::bigint for i in range(0, 4)] as h
+  from drawn),
+cuts as (
+  select *, len(u) as n, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) as a,
+    greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) as b,
+    case when x = '' or contains(x, '<P>') or contains(x, '<S>') or contains(x, '<M>') or h[3] % 100 >= 100 then 'plain'
+      when h[4] % 100 < 50 then 'spm' else 'psm' end as form
+  from units),
+parts as (
+  select *, array_to_string(u[1 : a], '') as p, array_to_string(u[a + 1 : b], '') as m,
+    array_to_string(u[b + 1 :], '') as s
+  from cuts)
+select doc_id, n, form, case when form <> 'plain' then length(p) end as prefix_chars,
+  case when form <> 'plain' then length(m) end as middle_chars,
+  sha256(case form when 'plain' then x when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+    else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+  sha256(x) as restored_sha256
+from parts
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": OP1,
     "op3_chat_format": OP3,
     "op5_mixing": OP5,
     "op7_jaccard_join": OP7,
+    "op11_prefix_trie": OP11,
+    "op12_fill_middle": OP12,
 }
