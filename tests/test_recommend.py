@@ -113,6 +113,17 @@ def test_als_beats_popularity_and_round_trips(spark, tmp_path):
     assert recommend.MODEL_GRID[0].label == "rank=30 reg=0.10 alpha=15"
 
 
+def test_losing_models_leave_no_factors(spark):
+    train = blocks(spark)
+    grid = [recommend.AlsSetting(n, 0.1, 15.0) for n in (2, 3, 4)]
+    context = spark.sparkContext._jsc
+    before = set(dict(context.getPersistentRDDs()))
+    model, _ = recommend.select_model(train, train, grid, max_iter=2)
+    left = set(dict(context.getPersistentRDDs())) - before
+    assert len(left) <= 2  # the winner's users and items
+    assert model.userFactors.count() > 0
+
+
 def test_min_interactions(spark):
     train = blocks(spark)
     lone = spark.createDataFrame([(500, 1, 3.0)], train.schema)

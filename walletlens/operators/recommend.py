@@ -6,11 +6,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from walletlens.functions.shared_storage import shared_root, written
+from walletlens.operators.certificate import optimality
 from walletlens.operators.evaluate import CUTOFFS, ndcg_at_k, ranking_metrics
+from walletlens.operators.inner_product import top_inner_products
 from walletlens.operators.route import SAFE_MODE, TOP_N, known_wallets, route_recommendations
 
 # Fixed values.
@@ -112,38 +114,32 @@ def recommend_top_n(
 ) -> DataFrame:
     """The ``k`` best items of each user as ``(user_id_int, rank, token_id_int, score)``.
 
-    Users the model never saw have no rows. Items a user already holds stay in, unless
-    ``exclude_seen`` names them as ``(user_id_int, token_id_int)``: then each list is asked for
-    with as many more items as any requested user holds. A list is ordered where it was made,
-    by score and then item, so nothing is shuffled for the ranks.
+    Users the model never saw have no rows. Items a user already holds stay in, unless ``exclude_seen`` names them as
+    ``(user_id_int, token_id_int)``; they are passed over during the search, so a user with many costs nothing to others.
+    The search is exact (see ``inner_product``); equal scores are in order of items. Runs jobs.
     """
-    wanted = users.select(USER_COL).distinct()
-    more = 0
+    wanted = users.select(F.col(USER_COL).alias("id")).distinct()
+    held = None
     if exclude_seen is not None:
-        held = exclude_seen.select(USER_COL, ITEM_COL).distinct().join(wanted, USER_COL, "left_semi")
-        held = written(held.groupBy(USER_COL).agg(F.collect_set(ITEM_COL).alias("held")), "held")
-        more = held.agg(F.max(F.size("held"))).first()[0] or 0
-    lists = model.recommendForUserSubset(wanted, k + more)
-    entries = F.transform(
-        "recommendations",
-        lambda r: F.struct(
-            (-r["rating"]).alias("_order"), r[ITEM_COL].alias(ITEM_COL), r["rating"].cast("double").alias("score")
-        ),
-    )
-    lists = lists.select(USER_COL, F.array_sort(entries).alias("entries"))
-    if exclude_seen is not None:
-        lists = lists.join(held, USER_COL, "left").select(
-            USER_COL,
-            F.filter(
-                "entries",
-                lambda e: ~F.array_contains(F.coalesce("held", F.array().cast("array<int>")), e[ITEM_COL]),
-            ).alias("entries"),
-        )
-    return lists.select(USER_COL, F.posexplode(F.slice("entries", 1, k)).alias("position", "entry")).select(
+        held = exclude_seen.select(F.col(USER_COL).alias("query"), F.col(ITEM_COL).alias("item"))
+    found = top_inner_products(model.userFactors.join(wanted, "id", "left_semi"), model.itemFactors, k, held)
+    entries = F.arrays_zip(F.col("found").alias(ITEM_COL), F.col("scores").alias("score"))
+    return found.select(F.col("query").alias(USER_COL), F.posexplode(entries).alias("position", "entry")).select(
         USER_COL, (F.col("position") + 1).alias("rank"), f"entry.{ITEM_COL}", "entry.score"
     )
 
 
+def certify_model(model: ALSModel, train: DataFrame, reg: float, alpha: float) -> DataFrame:
+    """Per trained user, whether its factors are the best for the items' factors (see ``certificate.optimality``).
+
+    A round of the fit solves items first and users last, so users are what can be held to it. ``train``, ``reg``
+    and ``alpha`` are those of the fit; ratings count as single floats, as they do there.
+    """
+    rating = F.col(RATING_COL).cast("float").cast("double").alias("rating")
+    ratings = train.select(F.col(USER_COL).alias("id"), F.col(ITEM_COL).alias("other"), rating)
+    return optimality(model.userFactors, model.itemFactors, ratings, reg, alpha)
+
+
 def evaluate_model(model: ALSModel, test: DataFrame, ks: Sequence[int] = CUTOFFS) -> DataFrame:
     """Ranking metrics of a model on held-out rows; one list per user serves every cutoff."""
     return ranking_metrics(recommend_top_n(model, test, max(ks)), test, ks)
@@ -179,26 +175,36 @@ def select_model(
     """Fit every setting and keep the best NDCG@k; the first wins a tie.
 
     Returns the model and a table ``(label, ndcg, users, best)``, best first. Only one number
-    per setting reaches the driver. ``min_interactions`` can drop users with fewer rows.
+    per setting reaches the driver, and a losing model's factors leave the executors at once. ``min_interactions`` can drop users with fewer rows.
     """
     if min_interactions > 0:
         busy = train.groupBy(USER_COL).count().filter(F.col("count") >= min_interactions)
         train = train.join(busy.select(USER_COL), USER_COL, "left_semi")
     train, test = written(train, "train"), written(test, "test")
-    fitted = []
+    best, rows = None, []
     for setting in grid:
+        before = _persisted(train.sparkSession)
         model = train_als(train, setting.rank, setting.reg, setting.alpha, max_iter)
+        kept = {key: rdd for key, rdd in _persisted(train.sparkSession).items() if key not in before}
         result = ndcg_at_k(recommend_top_n(model, test, k), test, k).first()
-        fitted.append((result["ndcg"], result["users"], setting.label, model))
-    # max() keeps the first of equal ones.
-    winner = max(fitted, key=lambda fit: fit[0])
-    rows = [(label, ndcg, users) for ndcg, users, label, _ in fitted]
+        rows.append((setting.label, result["ndcg"], result["users"]))
+        loser = kept
+        if best is None or result["ndcg"] > best[0]:  # the first of equal ones stays
+            loser = best[2] if best else {}
+            best = (result["ndcg"], model, kept, setting.label)
+        for rdd in loser.values():
+            rdd.unpersist()
     table = (
         train.sparkSession.createDataFrame(rows, "label string, ndcg double, users bigint")
-        .withColumn("best", F.col("label") == winner[2])
+        .withColumn("best", F.col("label") == best[3])
         .orderBy(F.desc("ndcg"), F.desc("best"))
     )
-    return winner[3], table
+    return best[1], table
+
+
+def _persisted(spark: SparkSession) -> dict:
+    """What the context keeps in executors' storage, by number; a fit leaves its factors there."""
+    return dict(spark.sparkContext._jsc.getPersistentRDDs())
 
 
 def save_model(model: ALSModel, path: str) -> None:

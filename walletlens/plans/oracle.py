@@ -543,6 +543,9 @@ FINAL: dict[str, str] = {
     "train_als": """
         select distinct user_id_int as id, 50 as factors, true as sound from sides
         where side = 'train'""",
+    "certify_model": """
+        select user_id_int, count(*) as n_pairs, true as is_feasible, true as is_optimal
+        from sides where side = 'train' group by user_id_int""",
     "save_model": """
         select distinct token_id_int as id, 50 as factors, true as sound, true as is_equal from sides
         where side = 'train'""",

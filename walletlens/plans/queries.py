@@ -541,6 +541,15 @@ def train_als(stages: WalletPipeline) -> DataFrame:
     return _sound_factors(_default_model(stages.split[0]).userFactors)
 
 
+@stage_query
+def certify_model(stages: WalletPipeline) -> DataFrame:
+    """Whether each trained user's factors solve what the fit minimises."""
+    train = stages.split[0]
+    setting = DEFAULT_SETTING
+    checked = recommend.certify_model(_default_model(train), train, setting.reg, setting.alpha)
+    return checked.select(F.col("id").alias("user_id_int"), "n_pairs", "is_feasible", "is_optimal")
+
+
 @stage_query
 def save_model(stages: WalletPipeline) -> DataFrame:
     path = scratch_path(stages.transfers.sparkSession, "model")
