@@ -143,14 +143,6 @@ def test_catalog_table(spark):
         spark.sql("drop table ranks_for_test")
 
 
-def test_spread_leaves_large_scans_alone(spark, tmp_path):
-    spark.range(0, 100, 1, 1).write.parquet(str(tmp_path / "one"))
-    one = spark.read.parquet(str(tmp_path / "one"))
-    assert tables.spread(one).rdd.getNumPartitions() == 8
-    many = spark.range(0, 100, 1, 50)
-    assert tables.spread(many) is many
-
-
 def test_shared_folder_comes_from_the_session(spark):
     # Where the session names no folder, local mode makes one and keeps to it.
     root = spark.conf.get("spark.checkpoint.dir", None) or shared_root(spark)

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 
 from walletlens.sources import extracts
+from walletlens.sources.days import write_days
 from walletlens.sources.tables import write_table
 
 # Fixed value: contracts are taken from this day on, whatever the slice.
@@ -37,3 +38,17 @@ def ingest_slice(
     for name, table in slices.items():
         write_table(table, paths[name])
     return paths
+
+
+def ingest_days(
+    transactions: DataFrame, transfers: DataFrame, folder: str, start: str | dt.date, end: str | dt.date
+) -> dict[str, list[dt.date]]:
+    """Put the days from ``start`` up to ``end`` of the dated tables in place below ``folder``; returns name to days.
+
+    Other days of these tables stay, so a range can be run again at any time; see ``sources.days``.
+    """
+    slices = {
+        "transactions": extracts.extract_transactions(transactions, start, end),
+        "token_transfers": extracts.extract_transfers(transfers, start, end),
+    }
+    return {name: write_days(table, f"{folder}/{name}", start, end) for name, table in slices.items()}

@@ -17,6 +17,8 @@ TOP_N = 10
 TX_RANGE = ("2024-01-05", "2024-01-20")
 TRANSFER_RANGE = ("1996-01-01", "1998-01-01")
 CONTRACT_RANGE = ("2023-01-01", "2026-04-01")
+DAYS_READ = ("1997-01-15", "1997-04-20")
+SLICE_DAYS = ("1994-06-01", "1996-06-01")
 POPULAR = 20
 TOP_K, MID_K, LOW_K = 100, 150, 250
 RANK_DIGITS = 9
@@ -350,7 +352,7 @@ FINAL: dict[str, str] = {
           and cast(block_timestamp as date) < date '{TRANSFER_RANGE[1]}'
           and value <> '0' and to_address is not null and to_address <> '{ZERO}'""",
     "extract_contracts": f"""
-        select address, is_erc20, is_erc721 from raw_contracts
+        select address, is_erc20, is_erc721 from all_contracts
         where block_timestamp >= date '{CONTRACT_RANGE[0]}'
           and block_timestamp < date '{CONTRACT_RANGE[1]}'""",
     "read_slices": """
@@ -362,6 +364,26 @@ FINAL: dict[str, str] = {
         from tokens""",
     "write_table": "select * from all_contracts",
     "catalog_table": "select * from all_contracts",
+    "publish_table": "select * from all_contracts",
+    "slices_by_day": f"""
+        select token_address, from_address, to_address, value, transaction_hash, block_timestamp,
+               cast(block_timestamp as date) as day
+        from transfers
+        where cast(block_timestamp as date) >= date '{DAYS_READ[0]}'
+          and cast(block_timestamp as date) < date '{DAYS_READ[1]}'
+          and value <> '0' and to_address is not null and to_address <> '{ZERO}'""",
+    "balances_over_slices": _rounded_columns(
+        "user_address, token_address, tx_count, last_active", "balance", "portfolios"
+    ),
+    # Wallets are numbered by the slice that first has them, then by address.
+    "lasting_ids_over_slices": f"""
+        select user_address, row_number() over (order by slice, user_address) as user_id
+        from (select user_address, min(slice) as slice
+              from (select lower(unnest([from_address, to_address])) as user_address,
+                           case when block_timestamp < date '{SLICE_DAYS[0]}' then 0
+                                when block_timestamp < date '{SLICE_DAYS[1]}' then 1 else 2 end as slice
+                    from normalized)
+              where user_address is not null and user_address <> '' group by user_address)""",
     "clean_tokens": "select * from clean_tokens",
     "normalize_transfers": _rounded_columns(_TRANSFER_COLUMNS, "adjusted_value", "normalized"),
     "processed_transfers": _rounded_columns(

@@ -12,12 +12,14 @@ from pyspark.sql.types import DoubleType
 
 from walletlens.functions.shared_storage import scratch_path
 from walletlens.operators import (
+    balances,
     clean,
     distribution,
     evaluate,
     features,
     gas,
     graph,
+    lasting_ids,
     matrix,
     portfolio,
     recommend,
@@ -26,7 +28,7 @@ from walletlens.operators import (
 from walletlens.plans.pipeline import WalletPipeline
 from walletlens.plans.sample_views import SampleViews
 from walletlens.session import tune
-from walletlens.sources import extracts, tables
+from walletlens.sources import days, extracts, tables, versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +38,11 @@ QUERIES: dict[str, Query] = {}
 TX_RANGE = ("2024-01-05", "2024-01-20")
 TRANSFER_RANGE = ("1996-01-01", "1998-01-01")
 CONTRACT_RANGE = ("2023-01-01", "2026-04-01")
+# Runs that overlap, and one that is a rerun; the days that are read start and end inside them.
+DAY_RUNS = (("1997-01-01", "1997-03-15"), ("1997-03-01", "1997-05-01"), ("1997-02-10", "1997-02-12"))
+DAYS_READ = ("1997-01-15", "1997-04-20")
+# Where slices of all transfers begin.
+SLICE_DAYS = ("1994-06-01", "1996-06-01")
 POPULAR = 20
 TOP_K, MID_K, LOW_K = 100, 150, 250
 RANK_DIGITS = 9
@@ -91,7 +98,7 @@ def extract_transfers(views: SampleViews) -> DataFrame:
 
 @view_query
 def extract_contracts(views: SampleViews) -> DataFrame:
-    return extracts.extract_contracts(views.raw_contracts(), *CONTRACT_RANGE)
+    return extracts.extract_contracts(views.all_contracts(), *CONTRACT_RANGE)
 
 
 @view_query
@@ -134,6 +141,24 @@ def catalog_table(views: SampleViews) -> DataFrame:
     return tables.save_catalog_table(views.all_contracts(), name, path=path)
 
 
+@view_query
+def publish_table(views: SampleViews) -> DataFrame:
+    """Two versions of one table; a version is what was published last."""
+    root, contracts = scratch_path(views.spark, "published"), views.all_contracts()
+    versions.publish(contracts.where("is_erc20"), root)
+    versions.publish(contracts, root)
+    return versions.read_published(views.spark, root)
+
+
+@view_query
+def slices_by_day(views: SampleViews) -> DataFrame:
+    path = scratch_path(views.spark, "days")
+    for run in DAY_RUNS:
+        days.write_days(extracts.extract_transfers(views.transfers(), *run), path, *run)
+    schema = extracts.extract_transfers(views.transfers(), *DAYS_READ).schema
+    return days.read_days(views.spark, path, schema, *DAYS_READ)
+
+
 # Clean and portfolio ---------------------------------------------------------------------
 
 
@@ -378,6 +403,34 @@ def stratified_sample(stages: WalletPipeline) -> DataFrame:
     return graph.stratified_sample(_settled_ranks(stages), TOP_K, MID_K, LOW_K)
 
 
+# Kept over slices ------------------------------------------------------------------------
+
+
+def _slices(rows: DataFrame) -> list[DataFrame]:
+    """``rows`` cut by date; together they are all of them."""
+    first, second = (F.lit(day).cast("date") for day in SLICE_DAYS)
+    at = F.col("block_timestamp")
+    return [rows.where(at < first), rows.where((at >= first) & (at < second)), rows.where((at >= second) | at.isNull())]
+
+
+@stage_query
+def balances_over_slices(stages: WalletPipeline) -> DataFrame:
+    flows = stages.flows
+    root = scratch_path(flows.sparkSession, "balances")
+    for number, part in enumerate(_slices(flows)):
+        balances.add_slice(root, part, str(number), buckets=8)
+    return balances.held_balances(versions.read_published(flows.sparkSession, root))
+
+
+@stage_query
+def lasting_ids_over_slices(stages: WalletPipeline) -> DataFrame:
+    transfers = stages.stored_normalized
+    root = scratch_path(transfers.sparkSession, "ids")
+    for part in _slices(transfers):
+        lasting_ids.extend_ids(root, matrix.wallet_universe(part), "user_address", "user_id", buckets=8)
+    return lasting_ids.id_map(transfers.sparkSession, root)
+
+
 # Features --------------------------------------------------------------------------------
 
 

@@ -21,7 +21,8 @@ SUCCESS_STATUS = 1
 NUMERIC_SCALE = 9
 
 
-def _within(start: str | dt.date, end: str | dt.date, column: str = "block_timestamp") -> Column:
+def within(start: str | dt.date, end: str | dt.date, column: str = "block_timestamp") -> Column:
+    """From the first moment of ``start`` up to that of ``end``."""
     first, last = (dt.date.fromisoformat(str(day)) for day in (start, end))
     return (F.col(column) >= F.lit(first)) & (F.col(column) < F.lit(last))
 
@@ -29,7 +30,7 @@ def _within(start: str | dt.date, end: str | dt.date, column: str = "block_times
 def extract_transactions(raw: DataFrame, start: str | dt.date, end: str | dt.date) -> DataFrame:
     """Successful transactions with a receiver; the value is converted from wei to ether."""
     return raw.filter(
-        _within(start, end)
+        within(start, end)
         & (F.col("receipt_status") == SUCCESS_STATUS)
         & F.col("to_address").isNotNull()
     ).select(
@@ -57,7 +58,7 @@ def extract_tokens(raw: DataFrame) -> DataFrame:
 def extract_transfers(raw: DataFrame, start: str | dt.date, end: str | dt.date) -> DataFrame:
     """Non-empty transfers to a live receiver; mints (zero sender) stay."""
     return raw.filter(
-        _within(start, end)
+        within(start, end)
         & (F.col("value") != "0")
         & F.col("to_address").isNotNull()
         & (F.col("to_address") != ZERO_ADDRESS)
@@ -73,4 +74,4 @@ def extract_transfers(raw: DataFrame, start: str | dt.date, end: str | dt.date)
 
 def extract_contracts(raw: DataFrame, start: str | dt.date, end: str | dt.date) -> DataFrame:
     """Contracts deployed in the range with their standard flags."""
-    return raw.filter(_within(start, end)).select("address", "is_erc20", "is_erc721")
+    return raw.filter(within(start, end)).select("address", "is_erc20", "is_erc721")

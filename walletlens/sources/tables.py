@@ -36,16 +36,6 @@ def read_first_available(
     raise FileNotFoundError(f"none of these paths exists: {', '.join(paths)}")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rebalance a scan that would use fewer tasks than there are cores.
-
-    A small table in one file is often a single row group and so a single task. Tables
-    with enough splits, which is every large one, are returned as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_token_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Asset CSV with a header; quoted line breaks and doubled quotes; all columns are text.
 
