@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import bisect
 import datetime as dt
 import math
 import random
@@ -9,6 +10,7 @@ import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from walletlens.operators import distribution, gas
 
@@ -96,3 +98,28 @@ def test_pareto_matches_a_cumulative_sum(spark):
     assert points.tx_share_of_top == pytest.approx(np.interp(0.01, shares, tx_share))
     grid_x, grid_y = np.insert(tx_share, 0, 0.0), np.insert(shares, 0, 0.0)
     assert points.users_for_share == pytest.approx(np.interp(0.8, grid_x, grid_y))
+
+
+@pytest.mark.parametrize("q", [0.01, 0.5, 0.95, 1.0])
+def test_default_cut_and_sketches_are_near_in_rank(spark, q):
+    prices = spark.range(0, 40_000, 1, 8).select(
+        F.expr("timestamp_seconds(1704067200 + id * 97)").alias("block_timestamp"),
+        (F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / 7.0).alias("gas_price"),
+    )
+    ordered = sorted(r[0] for r in prices.select("gas_price").collect())
+    sketches = gas.gas_sketches(prices)
+    assert sketches.count() > 40
+    merged = gas.sketched_cutoff(sketches.repartition(5), q).first()
+    assert merged["samples"] == 40_000
+    for cutoff in (merged["cutoff"], gas.gas_cutoff(prices, q).first()["cutoff"]):
+        rank = bisect.bisect_right(ordered, cutoff)
+        assert abs(rank / 40_000 - q) <= gas.RANK_ERROR
+    assert gas.gas_cutoff(prices, q, rel_err=0).first()["cutoff"] == ordered[math.ceil(q * 40_000) - 1]
+
+
+def test_sketches_of_nothing(spark):
+    none = spark.createDataFrame([], "block_timestamp timestamp, gas_price double")
+    assert tuple(gas.sketched_cutoff(gas.gas_sketches(none)).first()) == (None, 0)
+    some = spark.createDataFrame([("2024-01-01", None), (None, 5.0), ("2024-01-01", 7.0)], "t string, gas_price double")
+    some = some.select(F.to_timestamp("t").alias("block_timestamp"), "gas_price")
+    assert tuple(gas.sketched_cutoff(gas.gas_sketches(some)).first()) == (7.0, 1)

@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from walletlens import schemas
+from walletlens.functions.distinct import distinct_counts
 from walletlens.functions.ordering import number_rows, running_totals
 from walletlens.operators import matrix
 
@@ -153,3 +154,16 @@ def test_grid_with_totals_that_differ_by_pair(spark):
 def test_pair_counts_come_along(spark):
     held = spark.createDataFrame([("u", "t", 3), ("u", "s", 4)], "user_address string, token_address string, tx_count long")
     assert rows(matrix.score_pairs(held, pair_counts=True)) == [("u", "s", 4, 7, 1), ("u", "t", 3, 7, 1)]
+
+
+@pytest.mark.parametrize("kind", ["bigint", "int", "string"])
+def test_distinct_counts(spark, kind):
+    values = [(1, None), (None, None), (1, 5), (-3, 5), (70_000, -5), (32_768, 0), (32_769, 2**31 - 1), (None, 5)]
+    df = spark.createDataFrame(values, "a bigint, b bigint").select(*[F.col(c).cast(kind).alias(c) for c in "ab"])
+    counted = distinct_counts(df.repartition(4), {"x": F.col("a"), "y": F.col("b"), "z": F.when(F.col("a") > 0, F.col("b"))})
+    assert rows(counted) == [(8, 5, 4, 4)]
+    assert rows(distinct_counts(df.limit(0), {"x": F.col("a")})) == [(0, 0)]
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+    if kind != "string":  # what is shuffled is bitmaps, not values
+        assert "bitmap_construct_agg" in plan.split("Exchange hashpartitioning")[-1]

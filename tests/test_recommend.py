@@ -8,6 +8,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from walletlens.operators import evaluate, features, recommend, route
+from walletlens.sources import versions
 
 RECS = "user_id_int int, token_id_int int, score double"
 TEST = "user_id_int int, token_id_int int"
@@ -245,3 +246,42 @@ def test_only_exact_ids_are_known(spark):
     history = spark.createDataFrame([(7, 1), (7, 1), (8, 2)], "user_id long, user_id_int int")
     asked = spark.createDataFrame([("7",), ("007",), ("x",), (None,)], "user_id string")
     assert rows(route.known_wallets(asked, history)) == [("7", 1)]
+
+
+def test_wallets_are_known_by_address_and_id(spark):
+    user_map = spark.createDataFrame([("0xaa", 11), ("0xbb", 12)], "user_address string, user_id bigint")
+    asked = [("0xAA", "safe"), (" 0xaa ", "safe"), ("11", None), ("12", "x"), ("0xcc", "safe"), ("junk", None),
+             (None, "safe"), ("0xAA", "safe"), ("011", "x")]
+    requests = spark.createDataFrame(asked, "wallet string, risk_mode string")
+    resolved = {(r.wallet, r.user_id) for r in route.resolve_requests(requests, user_map).collect()}
+    assert resolved == {("0xAA", "11"), (" 0xaa ", "11"), ("11", "11"), ("12", "12"), ("0xcc", "0xcc"), ("junk", "junk"),
+                        (None, None), ("011", "011")}
+    history = interactions(spark)
+    recs = spark.createDataFrame([(0, 1, 7, 0.5), (0, 2, 8, 0.25)], "user_id_int int, rank int, token_id_int int, score double")
+    safe, trending = route.safe_catalog(history), route.trending_catalog(history)
+    answers = route.route_wallets(requests, user_map, history, recs, safe, trending)
+    sources = {(r.wallet, r.risk_mode): r.source for r in answers.collect()}
+    assert sources == {("0xAA", "safe"): "als", (" 0xaa ", "safe"): "als", ("11", None): "als", ("12", "x"): "trending",
+                       ("0xcc", "safe"): "safe", ("junk", None): "trending", (None, "safe"): "safe",
+                       ("011", "x"): "trending"}
+    own = answers.where("wallet = ' 0xaa '").orderBy("rank").collect()
+    assert [(r.rank, r.token_id_int, r.score) for r in own] == [(1, 7, 0.5), (2, 8, 0.25)]
+
+
+def test_bucketed_map_is_not_exchanged(spark, tmp_path):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        root = str(tmp_path / "map")
+        known = spark.range(500).select(F.concat(F.lit("0x"), F.hex("id")).alias("user_address"), F.col("id").alias("user_id"))
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        versions.publish(known, root, buckets=versions.Buckets(("user_address",), n))
+        requests = spark.createDataFrame([("0x1", "safe")], "wallet string, risk_mode string")
+        resolved = route.resolve_requests(requests, versions.read_published(spark, root))
+        plan = resolved._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    map_side = plan.split("SortMergeJoin")[-1]
+    assert "Bucketed: true" in map_side
+    # Every exchange lies over the requests, none over the map.
+    assert all("user_address" not in line for line in plan.splitlines() if "Exchange" in line)

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from walletlens.functions.distinct import distinct_counts
 from walletlens.functions.ordering import number_rows
 
 # Fixed values.
@@ -58,10 +59,8 @@ def attach_scores(pairs: DataFrame, scores: DataFrame) -> DataFrame:
 def score_coverage(scored: DataFrame) -> DataFrame:
     """One row: wallets, wallets with a positive score and their share in percent."""
     with_score = F.when(F.col("pagerank_score") > 0, F.col("user_id"))
-    return scored.agg(
-        F.count_distinct("user_id").alias("users"),
-        F.count_distinct(with_score).alias("users_with_score"),
-    ).withColumn(
+    counts = distinct_counts(scored, {"users": F.col("user_id"), "users_with_score": with_score})
+    return counts.drop("_rows").withColumn(
         "coverage_pct",
         F.coalesce(F.try_divide("users_with_score", "users") * 100.0, F.lit(0.0)),
     )

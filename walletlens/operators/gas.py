@@ -14,6 +14,8 @@ from walletlens.functions.shared_storage import broadcast_if_at_most
 # The share of prices kept, and the tolerated rank error of the cut.
 KEPT_SHARE = 0.95
 RANK_ERROR = 0.01
+# Numbers a sketch keeps on its largest level; 200 give a rank error of 1.33 %, and 400 of 0.7 %.
+SKETCH_K = 400
 # About 100 years of hours.
 MAX_BROADCAST_HOURS = 1_000_000
 
@@ -60,6 +62,32 @@ def gas_cutoff(
     return samples.agg(F.percentile_approx("gas_price", q, accuracy).alias("cutoff"))
 
 
+def gas_sketches(transactions: DataFrame, accuracy: int = SKETCH_K) -> DataFrame:
+    """One mergeable sketch of prices per day: (date, samples, sketch).
+
+    A day's sketch has some thousand numbers whatever the day, so cuts over many slices never read their prices again;
+    a new slice only adds its own rows.
+    """
+    return (
+        gas_samples(transactions)
+        .groupBy(F.to_date("block_timestamp").alias("date"))
+        .agg(
+            F.count(F.lit(1)).alias("samples"),
+            F.kll_sketch_agg_double("gas_price", F.lit(accuracy)).alias("sketch"),
+        )
+    )
+
+
+def sketched_cutoff(sketches: DataFrame, q: float = KEPT_SHARE) -> DataFrame:
+    """One row, ``cutoff`` and ``samples``: the ``q`` quantile of all prices in the sketches, by their merge.
+
+    Its rank is off by one percent of the samples at most, with a probability of 99 %; no sketch gives null.
+    """
+    merged = sketches.agg(F.sum("samples").alias("samples"), F.kll_merge_agg_double("sketch").alias("sketch"))
+    found = F.when(F.col("samples") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(float(q))))
+    return merged.select(found.alias("cutoff"), F.coalesce("samples", F.lit(0)).alias("samples"))
+
+
 def gas_baseline_hourly(
     transactions: DataFrame,
     q: float = KEPT_SHARE,

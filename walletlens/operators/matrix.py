@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from walletlens.functions.columns import filled, sparsity_pct
+from walletlens.functions.distinct import distinct_counts
 from walletlens.functions.ordering import number_rows
 from walletlens.functions.shared_storage import written
 
@@ -111,13 +112,19 @@ def unmapped_count(indexed: DataFrame) -> DataFrame:
 
 
 def sparsity(df: DataFrame, user: str, item: str, approximate: bool = False) -> DataFrame:
-    """One row: entries, users, tokens and the empty share of the matrix in percent."""
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
-    return df.agg(
-        F.count(F.lit(1)).alias("entries"),
-        distinct(F.col(user)).alias("users"),
-        distinct(F.col(item)).alias("tokens"),
-    ).withColumn("sparsity_pct", sparsity_pct("entries", "users", "tokens"))
+    """One row: entries, users, tokens and the empty share of the matrix in percent.
+
+    Exact counts come from bitmaps where both columns are ids; see ``distinct_counts``.
+    """
+    if approximate:
+        counts = df.agg(
+            F.count(F.lit(1)).alias("entries"),
+            F.approx_count_distinct(user).alias("users"),
+            F.approx_count_distinct(item).alias("tokens"),
+        )
+    else:
+        counts = distinct_counts(df, {"users": F.col(user), "tokens": F.col(item)}).withColumnRenamed("_rows", "entries")
+    return counts.withColumn("sparsity_pct", sparsity_pct("entries", "users", "tokens"))
 
 
 def user_totals(held: DataFrame) -> DataFrame:

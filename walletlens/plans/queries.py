@@ -41,6 +41,8 @@ CONTRACT_RANGE = ("2023-01-01", "2026-04-01")
 # Runs that overlap, and one that is a rerun; the days that are read start and end inside them.
 DAY_RUNS = (("1997-01-01", "1997-03-15"), ("1997-03-01", "1997-05-01"), ("1997-02-10", "1997-02-12"))
 DAYS_READ = ("1997-01-15", "1997-04-20")
+# Cuts that are held against the ranks of all prices.
+SKETCH_SHARES = (0.05, 0.5, 0.95)
 # Where slices of all transfers begin.
 SLICE_DAYS = ("1994-06-01", "1996-06-01")
 POPULAR = 20
@@ -238,6 +240,43 @@ def gas_cutoff(stages: WalletPipeline) -> DataFrame:
     return gas.gas_cutoff(stages.transactions, rel_err=0)
 
 
+@stage_query
+def gas_cutoff_over_slices(stages: WalletPipeline) -> DataFrame:
+    """The cut from daily sketches, and that of the default path, against the ranks of all prices."""
+    root = scratch_path(stages.transactions.sparkSession, "sketches")
+    sketches = gas.gas_sketches(stages.transactions)
+    even = F.dayofmonth("date") % 2 == 0
+    versions.publish(sketches.where(even), root)
+    versions.publish(sketches.where(~even), root, append=True)
+    stored = versions.read_published(stages.transactions.sparkSession, root)
+    samples = gas.gas_samples(stages.transactions)
+    answers = None
+    for q in SKETCH_SHARES:
+        merged = gas.sketched_cutoff(stored, q)
+        cuts = {
+            "cutoff": merged.select("cutoff").scalar(),
+            "default": gas.gas_cutoff(stages.transactions, q).scalar(),
+        }
+        price = F.col("gas_price")
+        ranks = samples.agg(
+            F.count(F.lit(1)).alias("n"),
+            *[F.count_if(price <= cut).alias(f"{name}_to") for name, cut in cuts.items()],
+            *[F.count_if(price < cut).alias(f"{name}_from") for name, cut in cuts.items()],
+        ).withColumn("samples", merged.select("samples").scalar())
+
+        def near(column: str, error: float):
+            # A value stands for all ranks that rows equal to it take.
+            low, high = (q - error) * F.col("n"), (q + error) * F.col("n") + 1  # noqa: B023
+            return (F.col(f"{column}_to") >= low) & (F.col(f"{column}_from") <= high)
+
+        row = ranks.select(
+            F.lit(q).alias("q"), "samples",
+            near("cutoff", gas.RANK_ERROR).alias("sketch_is_near"), near("default", gas.RANK_ERROR).alias("default_is_near"),
+        )
+        answers = row if answers is None else answers.unionByName(row)
+    return answers
+
+
 @stage_query
 def gas_baseline_hourly(stages: WalletPipeline) -> DataFrame:
     return gas.gas_baseline_hourly(stages.transactions, rel_err=0)
@@ -355,6 +394,11 @@ def filter_pairs_metrics(stages: WalletPipeline) -> DataFrame:
     return matrix.sparsity(stages.filtered, "user_address", "token_address")
 
 
+@stage_query
+def sparsity_by_id(stages: WalletPipeline) -> DataFrame:
+    return matrix.sparsity(stages.indexed_pairs, "user_id", "token_id")
+
+
 # Graph -----------------------------------------------------------------------------------
 
 
@@ -483,7 +527,7 @@ def train_test_split(stages: WalletPipeline) -> DataFrame:
 
 def popularity_recs(stages: WalletPipeline) -> DataFrame:
     """Input of the metric queries: the most held training items for every test user."""
-    train, test = stages.split
+    train, test = stages.numbered_split
     top = (
         train.groupBy("token_id_int")
         .agg(F.count(F.lit(1)).cast("double").alias("score"))
@@ -502,7 +546,7 @@ def rank_recs(stages: WalletPipeline) -> DataFrame:
 
 @stage_query
 def ground_truth(stages: WalletPipeline) -> DataFrame:
-    truth = evaluate.ground_truth(stages.split[1])
+    truth = evaluate.ground_truth(stages.numbered_split[1])
     return truth.select(
         "user_id_int", F.array_join("actual_tokens", ",").alias("actual_tokens")
     )
@@ -511,19 +555,19 @@ def ground_truth(stages: WalletPipeline) -> DataFrame:
 @stage_query
 def ranking_metrics(stages: WalletPipeline) -> DataFrame:
     return evaluate.ranking_metrics(
-        evaluate.rank_recs(popularity_recs(stages)), stages.split[1]
+        evaluate.rank_recs(popularity_recs(stages)), stages.numbered_split[1]
     )
 
 
 @stage_query
 def ndcg_at_k(stages: WalletPipeline) -> DataFrame:
-    return evaluate.ndcg_at_k(evaluate.rank_recs(popularity_recs(stages)), stages.split[1])
+    return evaluate.ndcg_at_k(evaluate.rank_recs(popularity_recs(stages)), stages.numbered_split[1])
 
 
 @stage_query
 def catalog_coverage(stages: WalletPipeline) -> DataFrame:
     return evaluate.catalog_coverage(
-        evaluate.rank_recs(popularity_recs(stages)), stages.interactions
+        evaluate.rank_recs(popularity_recs(stages)), stages.numbered_pairs
     )
 
 
@@ -542,7 +586,23 @@ def route_recommendations(views: SampleViews) -> DataFrame:
     stages = views.pipeline()
     return route.route_recommendations(
         views.requests(),
-        stages.interactions,
+        stages.numbered_pairs,
+        evaluate.rank_recs(popularity_recs(stages)),
+        stages.safe,
+        stages.trending,
+    )
+
+
+@view_query
+def route_wallets(views: SampleViews) -> DataFrame:
+    """Requests by address, by id and by names that are neither."""
+    stages = views.pipeline()
+    root = scratch_path(views.spark, "user-map")
+    versions.publish(stages.user_map, root, buckets=versions.Buckets(("user_address",), 8))
+    return route.route_wallets(
+        views.wallet_requests(),
+        versions.read_published(views.spark, root),
+        stages.numbered_pairs,
         evaluate.rank_recs(popularity_recs(stages)),
         stages.safe,
         stages.trending,

@@ -135,6 +135,13 @@ class SampleViews:
             F.col("c_custkey").cast("string").alias("user_id"), mode.alias("risk_mode")
         )
 
+    def wallet_requests(self) -> DataFrame:
+        """The same requests by other names: addresses in either case, ids, and names of nothing."""
+        wallet = F.expr("case c_custkey % 4 when 0 then concat(' ', upper(at)) when 1 then at "
+                        "when 2 then cast(c_custkey as string) else concat('wallet ', c_custkey) end")
+        modes = self.requests().select(F.col("user_id").cast("long").alias("c_custkey"), "risk_mode")
+        return modes.withColumn("at", address("c_custkey")).select(wallet.alias("wallet"), "risk_mode")
+
     def pipeline(self, settings: Settings = SAMPLE_SETTINGS) -> WalletPipeline:
         return WalletPipeline(
             self.transfers, self.tokens, self.raw_contracts, self.transactions, settings
