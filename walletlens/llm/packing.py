@@ -24,7 +24,7 @@ from walletlens.llm.token_output import _byte_letters
 
 SEQUENCE_TOKENS = 2048
 END_ID = 0
-WORDS_KEPT = 200_000
+WORDS_KEPT = 400_000
 
 # Fixed by the byte-level pre-tokenizer, for code points below 0x250: contractions, runs of letters, digits or
 # other signs with a space before them, and white space, whose last sign goes to what follows.
