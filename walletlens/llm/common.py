@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -24,12 +27,24 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode().split() if text else []
 
 
+def stage_store() -> dict:
+    """A dictionary for the tasks that one worker runs of one stage; the first task of another stage empties it."""
+    store = sys.modules.setdefault("_walletlens_store", ModuleType("_walletlens_store"))
+    task = TaskContext.get()
+    stage = None if task is None else task.stageId()
+    if not hasattr(store, "held") or store.stage != stage:
+        store.stage, store.held = stage, {}
+        pa.default_memory_pool().release_unused()
+    return store.held
+
+
 def per_text(function: Callable[[str], tuple], schema: str) -> Callable[[str], Column]:
     """A column of structs made by ``function`` from each text; null counts as empty."""
     names = [part.split()[0] for part in schema.split(",")]
 
     @pandas_udf(schema)
     def mapped(texts: pd.Series) -> pd.DataFrame:
+        stage_store()  # lets go of what other stages kept
         rows = [function(t if isinstance(t, str) else "") for t in texts]
         return pd.DataFrame(rows, columns=names)
 
@@ -46,6 +61,7 @@ def map_batches(
     arrow = to_arrow_schema(spark_schema)
 
     def run(batches):
+        stage_store()  # lets go of what other stages kept
         for columns in function(batches):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[f.name], type=f.type) for f in arrow], schema=arrow

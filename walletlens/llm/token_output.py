@@ -11,10 +11,8 @@ own writer commits it, so it works on any store and survives lost executors.
 
 from __future__ import annotations
 
-import sys
 import zlib
 from collections.abc import Iterable
-from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from walletlens.functions.shared_storage import scratch_path, written
-from walletlens.llm.common import map_batches
+from walletlens.llm.common import map_batches, stage_store
 
 MAGIC = b"VTOK1\0\0\0"
 END_ID = 1
@@ -133,8 +131,8 @@ class WordTokenizer:
 
 
 def worker_tokenizer(path: str) -> WordTokenizer:
-    """One per process: a worker keeps its stores from task to task."""
-    store = sys.modules.setdefault("_walletlens_tokenizers", ModuleType("_walletlens_tokenizers")).__dict__
+    """One per worker and stage: tasks of a stage share what they keep, and nothing of it outlives the stage."""
+    store = stage_store()
     if path not in store:
         store[path] = WordTokenizer(path)
     return store[path]
