@@ -47,7 +47,7 @@ SKETCH_SHARES = (0.05, 0.5, 0.95)
 # Where slices of all transfers begin.
 SLICE_DAYS = ("1994-06-01", "1996-06-01")
 # How far one more round may move a rank that is kept over slices.
-RANK_TOLERANCE = 0.01
+RANK_TOLERANCE = 0.05
 POPULAR = 20
 TOP_K, MID_K, LOW_K = 100, 150, 250
 RANK_DIGITS = 9
