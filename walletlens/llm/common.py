@@ -23,6 +23,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, stem: str) -> str:
+    """A column name that ``df`` does not have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
+def row_key() -> Column:
+    """What tells rows apart: id and hash of the text, null ids equal to each other. Orders by id, null first."""
+    return F.struct("doc_id", F.xxhash64("text").alias("text_hash"))
+
+
 def words_of(text: str | None) -> list[bytes]:
     return text.encode().split() if text else []
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from walletlens.functions.shared_storage import broadcast_if_at_most, written
-from walletlens.llm.common import bit_filter, bits_on, map_batches
+from walletlens.llm.common import bit_filter, bits_on, free_name, map_batches, row_key
 
 SLOTS = 1 << 17
 DIMENSIONS = 128
@@ -450,6 +450,13 @@ def _blocks(rows: DataFrame):
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without those that hold a benchmark item; rows with a null id stay unless a null id has a hit."""
-    leaks = find_leaks(docs, benchmark).select(F.col("doc_id").alias("leaking")).distinct()
-    return docs.join(written(leaks, "leaks"), docs["doc_id"].eqNullSafe(F.col("leaking")), "left_anti")
+    """``docs`` without the rows whose text holds a benchmark item.
+
+    Rows are told apart by id and text, so a clean row stays where another one with its id, or another one without id,
+    goes. Null and empty texts stay, repeated rows go together; further columns stay as they are, whatever their names. Empty tables
+    give what they must: no documents, or all of them.
+    """
+    found = find_leaks(docs.select(row_key().alias("doc_id"), "text"), benchmark)
+    key = free_name(docs, "row_key")
+    leaks = written(found.select(F.col("doc_id").alias(key)).distinct(), "leaks")
+    return docs.withColumn(key, row_key()).join(leaks, key, "left_anti").select(*docs.columns)

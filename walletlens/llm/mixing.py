@@ -16,11 +16,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from walletlens.functions.shared_storage import written
-from walletlens.llm.common import WORD
+from walletlens.llm.common import WORD, free_name
 
 WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
+# Words of a block at most; fewer where a source would have less than so many blocks.
 BLOCK_WORDS = 64
+LEAST_BLOCKS = 200
 SHARD_WORDS = 1_000_000
 
 
@@ -99,11 +101,17 @@ def apportion(parties: DataFrame, group: list[str], share: str, seats: str, most
     return joined.select("p.*", (F.col("p.sure") + F.coalesce("w.won", F.lit(0))).alias("quota")).drop("sure")
 
 
+def block_size(sources: DataFrame, most: int = BLOCK_WORDS, least_blocks: int = LEAST_BLOCKS) -> int:
+    """Words of a block, the same for all: the smallest source with words has ``least_blocks`` of them, or one a word."""
+    smallest = sources.where("source_size > 0").agg(F.min("source_size")).first()[0]
+    return max(1, min(most, (smallest or 0) // least_blocks))
+
+
 def plan_mix(
     docs: DataFrame,
     weights=WEIGHTS,
     most_repeats: int = MOST_REPEATS,
-    block_words: int = BLOCK_WORDS,
+    block_words: int | None = None,
     shard_words: int = SHARD_WORDS,
     seed: int = 7,
 ) -> DataFrame:
@@ -113,12 +121,13 @@ def plan_mix(
     range is empty unless the run goes around the end of its line); ``taken`` counts all of them and
     never exceeds ``most_repeats`` times the size. Null texts have size 0; a null source is a source of
     its own; repeated rows are documents of their own, side by side; equal seeds give equal results
-    whatever the partitioning. An empty table gives no rows.
+    whatever the partitioning. An empty table gives no rows. ``block_words`` is ``block_size`` unless given.
     """
     sized = written(
         docs.select("doc_id", "source", words(F.col("text")).alias("size"), place_of(seed).alias("place")), "sizes"
     )
-    sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    sources = written(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
+    block_words = block_words or block_size(sources)
     targets = source_targets(sources, weights, most_repeats)
     blocks = F.ceil(F.col("source_size") / block_words)
     seats = F.round(F.first("total").over(Window.partitionBy(F.lit(0))) / block_words).cast("long")
@@ -184,19 +193,20 @@ def mixed_documents(docs: DataFrame, seed: int = 7, **settings) -> DataFrame:
     """The mix itself, in the columns of ``docs``: each row once per whole pass, and the part of one more.
 
     A part keeps the taken words, joined by single spaces; ``n_chars`` follows it where ``docs`` has it.
-    Documents that the mix takes no word of are left out, those without any word as well.
+    Documents that the mix takes no word of are left out, those without any word as well. Null ids and sources stay
+    null, repeated rows count one by one, other columns stay as they are, and an empty table gives no rows.
     """
     plan = plan_mix(docs, seed=seed, **settings)
     # Repeated rows share a place: number them on both sides to pair them one to one.
     numbered = Window.partitionBy("place", "doc_id").orderBy("from1", "to1", "from2", "to2")
     plan = plan.withColumn("copy", F.row_number().over(numbered))
-    keyed = docs.withColumn("mix_place", place_of(seed))
-    copies = Window.partitionBy("mix_place", "doc_id").orderBy("mix_place")
-    keyed = keyed.withColumn("mix_copy", F.row_number().over(copies))
+    at, nth = free_name(docs, "mix_place"), free_name(docs, "mix_copy")
+    copies = Window.partitionBy(at, "doc_id").orderBy(at)
+    keyed = docs.withColumn(at, place_of(seed)).withColumn(nth, F.row_number().over(copies))
     same = (
-        (F.col("d.mix_place") == F.col("p.place"))
+        (F.col(f"d.{at}") == F.col("p.place"))
         & F.col("d.doc_id").eqNullSafe(F.col("p.doc_id"))
-        & (F.col("d.mix_copy") == F.col("p.copy"))
+        & (F.col(f"d.{nth}") == F.col("p.copy"))
     )
     taken = plan.where("taken > 0").select(
         "doc_id", "place", "copy", "size", "passes", "from1", "to1", "from2", "to2"

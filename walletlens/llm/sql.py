@@ -74,6 +74,8 @@ levels as (
     3.0::double * source_size / weight as ratio,
     row_number() over (order by 3.0::double * source_size / weight, source nulls last) as k
   from sources),
+unit as (
+  select greatest(1, least(64, min(source_size) // 200)) as words from sources where source_size > 0),
 level as (
   select *, (total - coalesce(sum(cap) over (order by k rows between unbounded preceding and 1 preceding), 0))
     / sum(weight) over (order by k rows between current row and unbounded following) as level
@@ -84,8 +86,8 @@ targets as (
       then (select arg_min(level, k) from level where ratio >= level) * weight else cap end as target
   from level),
 parties as (
-  select *, target / 64 as share, round(total / 64)::bigint as seats, 3 * ceil(source_size / 64)::bigint as most,
-    least(greatest(0, floor(target / 64)::bigint - 2), 3 * ceil(source_size / 64)::bigint) as sure
+  select *, target / (select words from unit) as share, round(total / (select words from unit))::bigint as seats, 3 * ceil(source_size / (select words from unit))::bigint as most,
+    least(greatest(0, floor(target / (select words from unit))::bigint - 2), 3 * ceil(source_size / (select words from unit))::bigint) as sure
   from targets),
 quotients as (
   select source, seat, row_number() over (order by share / (2 * seat + 1) desc, source nulls first, seat) as place, seats - total_sure as rest
@@ -103,7 +105,7 @@ shards as (
   select source, shard, sum(size) as shard_size, any_value(seats) as seats, any_value(source_size) as whole
   from placed group by source, shard),
 shard_parties as (
-  select *, ceil(shard_size / 64)::bigint as blocks, seats * shard_size / greatest(whole, 1) as share from shards),
+  select *, ceil(shard_size / (select words from unit))::bigint as blocks, seats * shard_size / greatest(whole, 1) as share from shards),
 shard_sure as (
   select *, least(greatest(0, floor(share)::bigint - 2), 3 * blocks) as sure from shard_parties),
 shard_quotients as (
@@ -117,7 +119,7 @@ dealt as (
     select source, shard, count(*) as won from shard_quotients where place <= rest group by source, shard) w
     on s.source is not distinct from w.source and s.shard = w.shard),
 runs as (
-  select *, floor(quota / n)::bigint as passes, start * 64 as run_from, (start + quota % n) * 64 as run_to, n * 64 as line
+  select *, floor(quota / n)::bigint as passes, start * (select words from unit) as run_from, (start + quota % n) * (select words from unit) as run_to, n * (select words from unit) as line
   from dealt)
 select doc_id, size, source_size, target,
   (passes * size
