@@ -2,6 +2,9 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of
 ``documents``. ``run`` stores each stage as Parquet and hands the stored table to the next.
+
+Columns beside doc_id, text, source and n_chars pass through the stages unchanged, whatever they are called. Rows are told
+apart by id and text: rows that share an id, or have none, are judged one by one. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -11,42 +14,54 @@ from pyspark.sql import functions as F
 
 from walletlens.functions.shared_storage import written
 from walletlens.llm import decontaminate, jaccard_join, mixing, quality_classifier, token_output
-from walletlens.llm.common import table
+from walletlens.llm.common import free_name, row_key, table
 from walletlens.llm.queries import TOKENIZER
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose score is below the classifier's threshold; null texts are scored as empty."""
+    """Drop documents whose score is below the classifier's threshold; null texts are scored as empty.
+
+    Repeated rows have equal scores and stay or go together; without labels every document stays.
+    """
     model = quality_classifier.fit_quality_model(docs, table(spark, sf_dir, "labels"))
-    scored = quality_classifier.score_documents(docs, model, "quality_score")
-    return scored.where(F.col("quality_score") >= quality_classifier.THRESHOLD).select(*docs.columns)
+    score = free_name(docs, "quality_score")
+    scored = quality_classifier.score_documents(docs, model, score)
+    return scored.where(F.col(score) >= quality_classifier.THRESHOLD).select(*docs.columns)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of least id in each near-duplicate group, and of repeated rows one.
+    """Keep the document of least id in each near-duplicate group (null before all ids), and of repeated rows one.
 
-    Documents without words are near-duplicates of none and all stay, as do rows without an id.
+    Rows of equal id are ordered by a hash of their texts. Documents without words are near-duplicates of none: of those
+    with equal id and text one stays.
     """
-    groups = jaccard_join.near_duplicates(docs)
-    gone = groups.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    left = docs.join(written(gone, "gone"), "doc_id", "left_anti")
+    key, copy = free_name(docs, "row_key"), free_name(docs, "copy_number")
+    groups = jaccard_join.near_duplicates(docs.select(row_key().alias("doc_id"), "text"))
+    gone = groups.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias(key)).distinct()
+    left = docs.withColumn(key, row_key()).join(written(gone, "gone"), key, "left_anti")
     # Rows that share an id and a text are copies of each other; one of them stays.
-    copies = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(0))
-    return left.withColumn("copy_number", F.row_number().over(copies)).where("copy_number = 1").select(*docs.columns)
+    copies = Window.partitionBy(key).orderBy(F.lit(0))
+    return left.withColumn(copy, F.row_number().over(copies)).where(F.col(copy) == 1).select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a benchmark item."""
+    """Drop documents that hold a benchmark item; null and empty texts hold none, repeated rows go together."""
     return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat, cut or leave out documents so that sources meet their target weights."""
+    """Repeat, cut or leave out documents so that sources meet their target weights.
+
+    A null source is a source of its own; documents without words are left out; repeated rows count one by one.
+    """
     return mixing.mixed_documents(docs)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Write the mix as token blocks and return what is read back."""
+    """Write the mix as token blocks and return what is read back, one row per document in order of id (null first).
+
+    A null text has the end id alone; rows of equal id follow by a hash of their texts.
+    """
     return token_output.token_report(docs, TOKENIZER)
 
 
