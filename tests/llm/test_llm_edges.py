@@ -440,3 +440,26 @@ def test_automaton_finds_what_expressions_find(text):
             if m.end(rule.group) - m.start(rule.group) >= rule.least:
                 want.append((m.start(), m.end(), k))
     assert secret_scan.scan_texts([text])[0] == [(secret_scan.RULES[k].kind, a, b) for a, b, k in sorted(want)]
+
+
+@given(st.text(alphabet=st.sampled_from("AKIa0f9tokens:= '\n"), max_size=200), st.integers(1, 9))
+@settings(max_examples=200, deadline=None)
+def test_lanes_begun_wrongly_are_run_again(text, lane_bytes):
+    machine = secret_scan.compile_rules(tuple(r.detect for r in secret_scan.RULES))
+    data = np.frombuffer(text.encode(), np.uint8)
+    whole, cut = (secret_scan.scan_bytes(machine, data, n) for n in (1 << 20, lane_bytes))
+    assert [x.tolist() for x in whole] == [x.tolist() for x in cut]
+
+
+@pytest.mark.parametrize("line", ["0f" * 150_000, "plain prose without commas " * 10_000, "token=" + "aB3+" * 70_000, "AKIA" * 70_000])
+def test_secrets_in_one_long_line(line):
+    import re
+
+    text = line + " token = abcDEF123456 " + line
+    want = []
+    for k, rule in enumerate(secret_scan.RULES):
+        for m in re.finditer(rule.find, text):
+            if m.end(rule.group) - m.start(rule.group) >= rule.least:
+                want.append((m.start(), m.end(), k))
+    assert want
+    assert secret_scan.scan_texts([text])[0] == [(secret_scan.RULES[k].kind, a, b) for a, b, k in sorted(want)]

@@ -204,26 +204,24 @@ LANE_BYTES = 2048
 
 
 def _lanes(data: np.ndarray, resets: np.ndarray, lane_bytes: int) -> np.ndarray:
-    """Lane borders: the first reset byte at or behind each multiple of ``lane_bytes``; 0 and the end too."""
+    """Lane borders, 0 and the end included: the first reset byte at or behind each multiple of ``lane_bytes``.
+
+    Where resets are too far apart a lane is cut all the same; the state it begins in is then not known yet.
+    """
     cuts = np.flatnonzero(resets[data])
     wanted = np.searchsorted(cuts, np.arange(lane_bytes, len(data), lane_bytes))
     inner = cuts[np.unique(wanted[wanted < len(cuts)])] + 1
-    return np.unique(np.concatenate([[0], inner, [len(data)]]))
+    borders = np.unique(np.concatenate([[0], inner, [len(data)]]))
+    long = np.flatnonzero(np.diff(borders) > 2 * lane_bytes)
+    return np.unique(np.concatenate([borders, *[np.arange(borders[i], borders[i + 1], lane_bytes) for i in long]]))
 
 
-def scan_bytes(machine: Automaton, data: np.ndarray, lane_bytes: int = LANE_BYTES) -> tuple[np.ndarray, np.ndarray]:
-    """Places (sorted) and rule masks where the automaton is in an accepting state after that byte."""
-    if not len(data):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    borders = _lanes(data, machine.resets, lane_bytes)
-    starts, lengths = borders[:-1], np.diff(borders)
+def _advance(machine: Automaton, symbols, accepting, starts, lengths, state):
+    """All lanes from ``state`` to their ends, one byte of each at a time: end states, and hits as (lane, place, mask)."""
     order = np.argsort(-lengths, kind="stable")
-    starts, lengths = starts[order], lengths[order]
-    symbols, accepting = machine.classes[data], machine.found[:, None].repeat(machine.n_classes, 1).ravel()
+    starts, lengths, state = starts[order], lengths[order], state[order]
     quiet = accepting == 0
-    state = np.zeros(len(starts), np.int32)
-    places, masks = [], []
-    active = len(starts)
+    lanes, places, masks = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, accepting.dtype)]
     shrink_at = np.searchsorted(-lengths, -np.arange(lengths[0] + 1), side="left")
     for t in range(int(lengths[0])):
         active = int(shrink_at[t])  # lanes longer than t come first
@@ -231,11 +229,33 @@ def scan_bytes(machine: Automaton, data: np.ndarray, lane_bytes: int = LANE_BYTE
         np.take(machine.step, lane + symbols[starts[:active] + t], out=lane)
         hit = ~quiet[lane]
         if hit.any():
+            lanes.append(order[:active][hit])
             places.append(starts[:active][hit] + t)
             masks.append(accepting[lane[hit]])
-    if not places:
+    ends = np.empty_like(state)
+    ends[order] = state
+    return ends, np.concatenate(lanes), np.concatenate(places), np.concatenate(masks)
+
+
+def scan_bytes(machine: Automaton, data: np.ndarray, lane_bytes: int = LANE_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """Places (sorted) and rule masks where the automaton is in an accepting state after that byte.
+
+    Every lane begins in the start state. Where the lane before it ends in another one it was begun wrongly and is run
+    again from there, until all agree: a lane is right at the latest when all before it are.
+    """
+    if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    at, mask = np.concatenate(places), np.concatenate(masks)
+    borders = _lanes(data, machine.resets, lane_bytes)
+    starts, lengths = borders[:-1], np.diff(borders)
+    symbols, accepting = machine.classes[data], machine.found[:, None].repeat(machine.n_classes, 1).ravel()
+    begun = np.zeros(len(starts), np.int32)
+    ends, lanes, at, mask = _advance(machine, symbols, accepting, starts, lengths, begun)
+    while len(wrong := np.flatnonzero(begun[1:] != ends[:-1]) + 1):
+        begun[wrong] = ends[wrong - 1]
+        ends[wrong], again, *found = _advance(machine, symbols, accepting, starts[wrong], lengths[wrong], begun[wrong])
+        stay = ~np.isin(lanes, wrong)
+        lanes = np.concatenate([lanes[stay], wrong[again]])
+        at, mask = (np.concatenate([old[stay], new]) for old, new in zip((at, mask), found))
     by_place = np.argsort(at)
     return at[by_place], mask[by_place]
 
