@@ -482,7 +482,8 @@ def lasting_ids_over_slices(stages: WalletPipeline) -> DataFrame:
 def ranks_over_slices(stages: WalletPipeline) -> DataFrame:
     transfers = stages.stored_normalized
     root = scratch_path(transfers.sparkSession, "kept-ranks")
-    for number, part in enumerate(_slices(transfers)):
+    first, second, last = _slices(transfers)
+    for number, part in enumerate((first.unionByName(second), last)):
         pairs = matrix.index_ends(graph.wallet_pairs(part), stages.user_map)
         rank_update.add_edges(root, graph.edges(pairs), str(number), tolerance=RANK_TOLERANCE, buckets=8)
     ranks = rank_update.kept_ranks(transfers.sparkSession, root)
