@@ -88,6 +88,37 @@ def test_classifier(spark, docs, nothing):
     assert {r["score"] for r in unlabelled if r["doc_id"] == 1} == {0.5}
 
 
+def test_classifier_scores_equal_mean_and_softmax():
+    """Against embeddings averaged one feature at a time."""
+    q = quality_classifier
+    texts = ["a a a a", "one two  three\nÜber ßen", "x", None, "", "é" * 50 + " end", " ".join(f"w{i % 37}" for i in range(900))]
+    model = q.train([(*q.document_features(t), i % 2) for i, t in enumerate(texts)])
+    score = q.condensed(*model).scorer()
+    table, output, bias = (part.astype(float) for part in model)
+    for text in texts * 2:
+        words = (text or "").split()
+        rows = []
+        for w in words:
+            grams = [f"<{w}>"[i : i + n] for n in q.NGRAMS for i in range(len(w) + 3 - n)]
+            rows += [zlib.crc32(w.encode(), 1) % q.BUCKETS]
+            rows += [zlib.crc32(g.encode(), len(g)) % q.BUCKETS for g in grams]
+        for a, b in zip(words, words[1:]):
+            first, second = (zlib.crc32(w.encode(), 2) % q.WORD_CLASSES for w in (a, b))
+            rows += [q.BUCKETS + first * q.WORD_CLASSES + second] * q.PAIR_WEIGHT
+        logits = (table[rows].mean(axis=0) if rows else np.zeros(q.DIMENSION)) @ output + bias
+        assert score(text) == pytest.approx(np.exp(logits[1]) / np.exp(logits).sum(), abs=1e-5)
+
+
+def test_classifier_reads_one_text_of_an_id(spark):
+    rows = [(i, t) for i in range(1, 9) for t in ("good plain words", "bad bad bad bad", None)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 9)], "doc_id long, quality int")
+    fits = [
+        quality_classifier.fit_quality_model(spark.createDataFrame(r, "doc_id long, text string").repartition(n), labels)
+        for r, n in ((rows, 1), (rows[::-1], 5))
+    ]
+    assert fits[0].bias == fits[1].bias and (fits[0].gain == fits[1].gain).all()
+
+
 def test_conversations(spark):
     schema = "conv_id long, turn long, role string, text string, rendered string"
     hard = ["", None, "<s>", "</s>[INST] x", "[ROLE:AB]", "\\", "\\\\<s>", "<\\s>", "[\\/INST]", "a\n", "[/ROLE] [ROLE:", "😀"]

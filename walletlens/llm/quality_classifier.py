@@ -1,17 +1,23 @@
-"""Quality classifier: supervised embeddings of words and their character n-grams.
+"""Quality classifier: supervised embeddings of words, pairs of words and character n-grams.
 
-A word stands for itself and its character n-grams; each is hashed to a row of an embedding table.
-A word that repeats the word before it also stands for one shared row, ``REPEAT_SHARE`` times.
+A word stands for itself, for its character n-grams and for the word 2-gram it makes with the word before it; each
+is hashed to a row of an embedding table.  Few pairs of words recur from text to text, so a pair is hashed
+word by word, each word to one of ``WORD_CLASSES`` classes: all pairs of two classes share a row.  A pair counts
+``PAIR_WEIGHT`` times, about as much as a word's own rows together.  Nothing else enters: no counts made by hand.
 A document is the mean of all its rows, and a softmax over it gives the classes.  Table and output
 layer are trained together by stochastic gradient descent in numpy on a bounded sample of labelled
 documents (``MAX_TRAIN_DOCS``).  Because mean and output layer are linear, scoring needs one number
 per hashed feature, which is what executors receive.
+
+Classes, weight and n-grams were chosen on fold 1 of the training folds; the held-out fold had no part in it.
 """
 
 from __future__ import annotations
 
-import operator
 import zlib
+from array import array
+from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,52 +27,67 @@ from pyspark.sql import functions as F
 from walletlens.llm.common import in_fold, map_batches, per_text, words_of
 
 BUCKETS = 1 << 17
+WORD_CLASSES = 128
+ROWS = BUCKETS + WORD_CLASSES**2
+PAIR_WEIGHT = 8
 DIMENSION = 10
-NGRAMS = (2, 3, 4)
+NGRAMS = (3, 4)
 MAX_TRAIN_DOCS = 3000
 EPOCHS = 8
 LEARNING_RATE = 0.5
 THRESHOLD = 0.3
-REPEAT_SHARE = 8
 CACHED_WORDS = 300_000
 
 
 def features(word: bytes) -> list[int]:
-    """Hashed rows of the word and of its n-grams, with borders; bytes stand for characters."""
-    bounded = b"<" + word + b">"
+    """Hashed rows of the word and of its character n-grams, with borders."""
+    bounded = f"<{word.decode()}>"
     out = [zlib.crc32(word, 1) % BUCKETS]
     for n in NGRAMS:
-        out += [zlib.crc32(bounded[i : i + n], n) % BUCKETS for i in range(len(bounded) - n + 1)]
+        out += [zlib.crc32(bounded[i : i + n].encode(), n) % BUCKETS for i in range(len(bounded) - n + 1)]
     return out
 
 
-REPEAT_ROW = zlib.crc32(b"repeat", 0) % BUCKETS
+def word_class(word: bytes) -> int:
+    return zlib.crc32(word, 2) % WORD_CLASSES
 
 
-def repeats(words: list[bytes]) -> int:
-    """Words equal to the word before them."""
-    return sum(map(operator.eq, words[1:], words))
+def pair_rows(classes: np.ndarray) -> np.ndarray:
+    """Hashed rows of the word 2-grams of a text, given the class of each word."""
+    return BUCKETS + classes[:-1] * WORD_CLASSES + classes[1:]
 
 
 def document_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct rows of a text and their shares of all its features."""
-    counts: dict[bytes, int] = {}
     words = words_of(text)
-    for w in words:
-        counts[w] = counts.get(w, 0) + 1
+    if not words:
+        return np.zeros(0, np.int32), np.zeros(0, np.float32)
+    counts = Counter(words)
     ids, weight = [], []
     for w, n in counts.items():
         f = features(w)
         ids += f
         weight += [n] * len(f)
-    if not ids:
-        return np.zeros(0, np.int32), np.zeros(0, np.float32)
-    if again := repeats(words):
-        ids.append(REPEAT_ROW)
-        weight.append(again * REPEAT_SHARE)
-    rows, place = np.unique(np.array(ids, np.int32), return_inverse=True)
-    share = np.bincount(place, weights=weight)
-    return rows, (share / share.sum()).astype(np.float32)
+    classes = {w: word_class(w) for w in counts}
+    pairs = pair_rows(np.array([classes[w] for w in words]))
+    rows, place = np.unique(np.concatenate([np.array(ids), pairs]), return_inverse=True)
+    share = np.bincount(place, weights=np.concatenate([np.array(weight), np.full(len(pairs), PAIR_WEIGHT)]))
+    return rows.astype(np.int32), (share / share.sum()).astype(np.float32)
+
+
+class WordSums(dict):
+    """Numbers of words; a new word's sum of gains, number of features and class are put down under its number."""
+
+    def __init__(self, gain: np.ndarray):
+        self.gain, self.sums, self.sizes, self.classes = gain, array("d"), array("q"), array("q")
+
+    def __missing__(self, word: bytes) -> int:
+        rows = features(word)
+        self.sums.append(float(self.gain[rows].sum()))
+        self.sizes.append(len(rows))
+        self.classes.append(word_class(word))
+        self[word] = number = len(self)
+        return number
 
 
 @dataclass(frozen=True)
@@ -76,37 +97,36 @@ class QualityModel:
     gain: np.ndarray
     bias: float
 
-    def scorer(self):
-        """Score of a text; word sums are kept for up to ``CACHED_WORDS`` words per task."""
-        known: dict[bytes, complex] = {}
-        repeat_gain = float(self.gain[REPEAT_ROW])
-
-        def total(word: bytes) -> complex:
-            found = known.get(word)
-            if found is None:
-                f = features(word)
-                found = complex(float(self.gain[f].sum()), len(f))  # the sum and how many were summed
-                if len(known) < CACHED_WORDS:
-                    known[word] = found
-            return found
+    def scorer(self) -> Callable[[str | None], float]:
+        """Score of a text; words are kept from text to text until there are ``CACHED_WORDS``."""
+        gain = self.gain.astype(np.float64)
+        known = WordSums(gain)
 
         def score(text: str | None) -> float:
+            nonlocal known
             words = words_of(text)
-            again = repeats(words) * REPEAT_SHARE
-            whole = sum(map(total, words), complex(again * repeat_gain, again))
-            logit = self.bias + (whole.real / whole.imag if whole.imag else 0.0)
-            return float(1 / (1 + np.exp(-np.clip(logit, -30, 30))))
+            if not words:
+                return float(1 / (1 + np.exp(-np.clip(self.bias, -30, 30))))
+            if len(known) > CACHED_WORDS:
+                known = WordSums(gain)
+            at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+            pairs = pair_rows(np.frombuffer(known.classes, np.int64)[at])
+            total = np.frombuffer(known.sums)[at].sum() + PAIR_WEIGHT * gain[pairs].sum()
+            size = np.frombuffer(known.sizes, np.int64)[at].sum() + PAIR_WEIGHT * len(pairs)
+            return float(1 / (1 + np.exp(-np.clip(self.bias + total / size, -30, 30))))
 
         return score
 
 
-def train(examples: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> QualityModel:
-    """Stochastic gradient descent over (rows, shares, class) examples, one at a time.
+def train(
+    examples: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Embeddings, output layer and bias, by stochastic gradient descent over (rows, shares, class) examples, one at a time.
 
     No example gives a score of 0.5 everywhere; examples of one class are learnt as they are.
     """
     rng = np.random.default_rng(seed)
-    table = rng.uniform(-1 / DIMENSION, 1 / DIMENSION, (BUCKETS, DIMENSION)).astype(np.float32)
+    table = rng.uniform(-1 / DIMENSION, 1 / DIMENSION, (ROWS, DIMENSION)).astype(np.float32)
     output, bias = np.zeros((DIMENSION, 2), np.float32), np.zeros(2, np.float32)
     steps, done = max(1, EPOCHS * len(examples)), 0
     for _ in range(EPOCHS):
@@ -125,6 +145,11 @@ def train(examples: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) ->
             # The mean's gradient is spread thin over its rows; scale it back as if each row stood alone.
             if len(rows):
                 table[rows] -= (rate * np.sqrt(len(rows)) * shares)[:, None] * back[None, :]
+    return table, output, bias
+
+
+def condensed(table: np.ndarray, output: np.ndarray, bias: np.ndarray) -> QualityModel:
+    """The same classifier as one number for each row: softmax over two classes needs only the difference of their logits."""
     return QualityModel(table @ (output[:, 1] - output[:, 0]), float(bias[1] - bias[0]))
 
 
@@ -132,7 +157,8 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TR
     """Fit on at most ``max_docs`` labelled documents outside the held-out fold, chosen by hash of the id.
 
     Only ``labels.quality`` of those documents is read. Null labels, ids and repeated label rows of one
-    document (the least label counts) are no extra examples; no labels give a score of 0.5.
+    document (the least label counts) are no extra examples; of texts that share an id the one of least hash is read.
+    No labels give a score of 0.5.
     """
     seen = (
         labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & (in_fold(F.col("doc_id")) != 0))
@@ -142,7 +168,9 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TR
         .limit(max_docs)
     )
     # At most max_docs ids: small enough to send to every task whatever the size of the corpus.
-    texts = docs.select("doc_id", "text").join(F.broadcast(seen), "doc_id").dropDuplicates(["doc_id"])
+    labelled = docs.select("doc_id", "text").join(F.broadcast(seen), "doc_id")
+    one = F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text")
+    texts = labelled.groupBy("doc_id", "quality").agg(one)
 
     def extract(batches):
         for batch in batches:
@@ -157,10 +185,8 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TR
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = map_batches(texts.select("doc_id", "text", "quality"), extract,
                        f"doc_id {kind}, quality int, rows binary, shares binary").orderBy("doc_id").collect()
-    return train(
-        [(np.frombuffer(r["rows"], np.int32), np.frombuffer(r["shares"], np.float32), r["quality"]) for r in rows],
-        seed,
-    )
+    examples = [(np.frombuffer(r["rows"], np.int32), np.frombuffer(r["shares"], np.float32), r["quality"]) for r in rows]
+    return condensed(*train(examples, seed))
 
 
 def score_documents(docs: DataFrame, model: QualityModel, score: str = "score") -> DataFrame:
