@@ -399,6 +399,25 @@ def test_lines_outside_articles_count(page, text):
     assert html_extract.main_text(page) == text
 
 
+LINES = [f"Paragraph {i} tells of rivers, mountains and the long road that runs between them and the sea." for i in range(5)]
+DIVS, PLAIN = "".join(f"<div>{line}</div>" for line in LINES), " ".join(LINES)
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<div>Home</div><div>About us</div>{DIVS}<div>Copyright 2024</div>", PLAIN),
+    (f"<table><tr><td>Home</td><td>News</td><td>Contact</td></tr></table>{DIVS}", PLAIN),
+    (f"<div>Home</div><div>Shop</div><h1>Rivers</h1><h2>A<br>walk</h2>{DIVS}<h3>More</h3>", f"Rivers A walk {PLAIN}"),
+    (f"{DIVS}<p>Yes.</p><p>No</p>{DIVS}<p>The end.</p>", f"{PLAIN} Yes. No {PLAIN} The end."),
+    (f"<article>{DIVS}</article><div class='replies'><p>{LINES[0]}</p></div>", PLAIN),
+    (f"<div>{DIVS}</div><div class='discussion'><p>{LINES[0]}</p><p>{LINES[1]}</p></div>", PLAIN),
+    (f"<article>{DIVS}<div class='discussion'>{LINES[0]}</div>End</article>", f"{PLAIN} {LINES[0]} End"),
+    (f"<div>{DIVS}</div><section class='discussion'>{LINES[0]}</section>", f"{PLAIN} {LINES[0]}"),
+    ("<div>Roses are red</div><div>violets are blue</div>" * 9, " ".join(["Roses are red violets are blue"] * 9)),
+])
+def test_distribution_finds_text_without_tags_that_name_it(page, text):
+    assert html_extract.main_text(page) == text
+
+
 def test_pages_table(spark):
     schema = "page_id long, url string, html string, text string, n_chars string"
     rows = [(1, "u", None, "x", "y"), (1, "u", None, "x", "y"), (2, None, "<p>" + LONG, "x", "y")]

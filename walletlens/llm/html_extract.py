@@ -3,7 +3,10 @@
 Markup is stripped to lines, one per block element.  Boilerplate elements leave empty lines behind,
 so the sum of text lengths over a sliding window of lines falls to zero there.  A surge is a place
 where that sum rises from zero, a dive where it falls back; the text between a surge and its dive is
-kept if its greatest window sum reaches the threshold.  The outermost ``article`` or ``main`` adds
+kept if its greatest window sum reaches the threshold.  Where no tag parts a menu or an imprint from the
+text, surge and dive move inwards to where the sum over a window crosses a threshold taken from the block's own
+lines (``EDGE_SHARE``), so short lines at the ends of a block go; lines that end like a sentence, and headings right
+before the text, stay, and nothing between surge and dive is cut.  The outermost ``article`` or ``main`` adds
 empty lines at its edges, boilerplate within it none, and its lines weigh ``CONTAINER_WEIGHT`` times as
 much; text outside is measured by the same sums.
 """
@@ -23,6 +26,7 @@ WINDOW_LINES = 3
 LEAST_SUM = 86
 LEAST_SHARE = 0.5
 CONTAINER_WEIGHT = 2
+EDGE_SHARE = 0.5
 
 # Elements whose content is no markup, those whose markup is never text of the page, and boilerplate.
 RAW = "script style iframe textarea title".split()
@@ -44,8 +48,8 @@ BLOCKS = HEADINGS | frozenset(
 )
 # Words that name boilerplate in a class, id or role, alone or joined to each other and to those around them.
 BOILERPLATE_WORDS = frozenset(
-    "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments cookie cookies consent disqus "
-    "footer masthead menu modal nav navbar navigation newsletter notice popup promo related respond share sharing "
+    "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments cookie cookies consent discussion "
+    "disqus footer masthead menu modal nav navbar navigation newsletter notice popup promo related replies respond share sharing "
     "sidebar social sponsored sponsor subscribe toolbar widget".split()
 )
 AROUND_WORDS = frozenset(
@@ -57,12 +61,16 @@ TOPICS = frozenset(
     "ad ads advert adverts advertisement banner consent cookie cookies menu navigation notice promo related share "
     "sharing social sponsored sponsor subscribe toolbar widget".split()
 )
+# A class that names a part of an article as well as comments.
+PARTS = frozenset(("discussion",))
 # Elements whose id only is a target of links.
 TARGETS = HEADINGS | frozenset("p li dt dd a span".split())
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 _EMPTY = re.compile(r"""(?:^|[\s"'])/\Z""")
 
+_SENTENCE_ENDS = tuple(".!?…:;\"”’»)。！？")
+
 # Where an element is sought among the open ones: not beyond these.
 SCOPES = frozenset("table td th caption template object".split())
 _LISTS = SCOPES | frozenset("ul ol menu dir".split())
@@ -133,11 +141,12 @@ def _is_boilerplate(name: str, rest: str, in_article: bool) -> bool:
     if found.get("hidden", "until-found") != "until-found" or found.get("aria-hidden") == "true":
         return True
     tokens = f"{found.get('class', '')} {found.get('role', '')}".split()
-    if "hidden" in tokens or any(map(_names_boilerplate, tokens)) or _NO_DISPLAY.search(found.get("style", "")):
+    parts = PARTS if in_article or name == "section" or name in TARGETS else frozenset()
+    if "hidden" in tokens or any(_names_boilerplate(token, parts) for token in tokens) or _NO_DISPLAY.search(found.get("style", "")):
         return True
     if name in TARGETS:
         return False
-    but = TOPICS if in_article or name == "section" else frozenset()
+    but = TOPICS | PARTS if in_article or name == "section" else frozenset()
     return any(_names_boilerplate(token, but) for token in found.get("id", "").split())
 
 
@@ -220,8 +229,8 @@ def element_ends(tags: list[Tag]) -> tuple[list[int], list[bool]]:
     return ends_at, closed
 
 
-def page_lines(html: str) -> tuple[list[str], list[bool]]:
-    """Text of each line (references decoded, white space made one space), and whether an article holds it.
+def page_lines(html: str) -> tuple[list[str], list[bool], list[bool]]:
+    """Text of each line (references decoded, white space made one space), whether an article holds it, whether it is a heading.
 
     Outside articles a line of links alone is a menu entry and leaves an empty line.
     """
@@ -229,6 +238,8 @@ def page_lines(html: str) -> tuple[list[str], list[bool]]:
     ends_at, closed = element_ends(tags)
     lines: list[str] = []
     inside: list[bool] = []
+    headings: list[bool] = []
+    in_heading = False
     parts: list[str] = []
     holders: list[int] = []  # ends of the open containers
     plain = False  # the line has text outside links
@@ -244,6 +255,7 @@ def page_lines(html: str) -> tuple[list[str], list[bool]]:
         if text:
             lines.append(text if plain or holders else "")
             inside.append(bool(holders))
+            headings.append(in_heading)
         parts.clear()
         plain = False
 
@@ -253,6 +265,7 @@ def page_lines(html: str) -> tuple[list[str], list[bool]]:
             return
         lines.extend([""] * WINDOW_LINES)
         inside.extend([False] * WINDOW_LINES)
+        headings.extend([False] * WINDOW_LINES)
 
     for at, (text, name, ends, rest) in enumerate(tags):
         container = name in CONTAINERS and not ends
@@ -298,13 +311,36 @@ def page_lines(html: str) -> tuple[list[str], list[bool]]:
                 link_open = False
         elif name not in INLINE and name not in FOREIGN:
             close()
+            in_heading = not ends if name in HEADINGS else in_heading and name == "br"
     close()
-    return lines, inside
+    return lines, inside, headings
+
+
+def text_edges(lines: list[str], headings: list[bool]) -> tuple[int, int]:
+    """Surge and dive within a block of lines: where the sum over a window crosses a threshold taken from its lines.
+
+    Half of the block's text lies in lines at least as long as the threshold's base. The window ends at a line on the way
+    in and begins at it on the way out, so text further inside does not carry the lines at the edge.
+    """
+    lengths = np.array([len(line) for line in lines], np.int64)
+    falling = np.sort(lengths)[::-1]
+    base = falling[np.searchsorted(np.cumsum(falling), lengths.sum() / 2)]
+    ones = np.ones(WINDOW_LINES, np.int64)
+    least = min(LEAST_SUM, EDGE_SHARE * base)
+    prose = np.array([line.endswith(_SENTENCE_ENDS) for line in lines], bool)
+    # Sums of the window that ends, and of the one that begins, at each line.
+    behind = np.convolve(lengths, ones)[: len(lines)]
+    ahead = np.convolve(lengths, ones)[WINDOW_LINES - 1 :]
+    surge = int(np.argmax((behind >= least) | prose))
+    dive = len(lines) - int(np.argmax(((ahead >= least) | prose)[::-1]))
+    while surge and headings[surge - 1]:
+        surge -= 1
+    return surge, dive
 
 
 def main_text(html: str) -> str:
     """The page's main text; empty if it has none."""
-    lines, inside = page_lines(html)
+    lines, inside, headings = page_lines(html)
     lengths = np.array([len(line) for line in lines], dtype=np.int64)
     weighted = np.where(np.array(inside, bool), CONTAINER_WEIGHT * lengths, lengths)
     padded = np.concatenate([weighted, np.zeros(WINDOW_LINES - 1, np.int64)])
@@ -317,7 +353,11 @@ def main_text(html: str) -> str:
     for surge, dive in zip(np.flatnonzero(rising > 0), np.flatnonzero(rising < 0)):
         if sums[surge:dive].max() >= threshold:
             # The window looks ahead, so the last lines with text lie before the dive.
-            kept += [lines[i] for i in range(surge, min(dive + WINDOW_LINES - 1, len(lines))) if lengths[i]]
+            block = [i for i in range(surge, min(dive + WINDOW_LINES - 1, len(lines))) if lengths[i]]
+            if not inside[block[0]] and sums[surge:dive].max() >= LEAST_SUM:
+                first, last = text_edges([lines[i] for i in block], [headings[i] for i in block])
+                block = block[first:last]
+            kept += [lines[i] for i in block]
     return " ".join(kept)
 
 
