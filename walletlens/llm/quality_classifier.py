@@ -39,13 +39,22 @@ THRESHOLD = 0.3
 CACHED_WORDS = 300_000
 
 
+def character_ngrams(word: bytes) -> list[str]:
+    bounded = f"<{word.decode()}>"
+    return [bounded[i : i + n] for n in NGRAMS for i in range(len(bounded) - n + 1)]
+
+
+def word_row(word: bytes) -> int:
+    return zlib.crc32(word, 1) % BUCKETS
+
+
+def ngram_row(ngram: str) -> int:
+    return zlib.crc32(ngram.encode(), len(ngram)) % BUCKETS
+
+
 def features(word: bytes) -> list[int]:
     """Hashed rows of the word and of its character n-grams, with borders."""
-    bounded = f"<{word.decode()}>"
-    out = [zlib.crc32(word, 1) % BUCKETS]
-    for n in NGRAMS:
-        out += [zlib.crc32(bounded[i : i + n].encode(), n) % BUCKETS for i in range(len(bounded) - n + 1)]
-    return out
+    return [word_row(word), *map(ngram_row, character_ngrams(word))]
 
 
 def word_class(word: bytes) -> int:
@@ -75,16 +84,28 @@ def document_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return rows.astype(np.int32), (share / share.sum()).astype(np.float32)
 
 
+class NgramGains(dict):
+    """Gains of character n-grams, kept since words share them."""
+
+    def __init__(self, gain: list[float]):
+        self.gain = gain
+
+    def __missing__(self, ngram: str) -> float:
+        self[ngram] = found = self.gain[ngram_row(ngram)]
+        return found
+
+
 class WordSums(dict):
     """Numbers of words; a new word's sum of gains, number of features and class are put down under its number."""
 
-    def __init__(self, gain: np.ndarray):
-        self.gain, self.sums, self.sizes, self.classes = gain, array("d"), array("q"), array("q")
+    def __init__(self, gain: list[float]):
+        self.gain, self.ngrams = gain, NgramGains(gain)
+        self.sums, self.sizes, self.classes = array("d"), array("q"), array("q")
 
     def __missing__(self, word: bytes) -> int:
-        rows = features(word)
-        self.sums.append(float(self.gain[rows].sum()))
-        self.sizes.append(len(rows))
+        ngrams = character_ngrams(word)
+        self.sums.append(sum(map(self.ngrams.__getitem__, ngrams), self.gain[word_row(word)]))
+        self.sizes.append(len(ngrams) + 1)
         self.classes.append(word_class(word))
         self[word] = number = len(self)
         return number
@@ -98,17 +119,18 @@ class QualityModel:
     bias: float
 
     def scorer(self) -> Callable[[str | None], float]:
-        """Score of a text; words are kept from text to text until there are ``CACHED_WORDS``."""
+        """Score of a text; words and n-grams are kept from text to text until there are twice ``CACHED_WORDS``."""
         gain = self.gain.astype(np.float64)
-        known = WordSums(gain)
+        single = gain.tolist()
+        known = WordSums(single)
 
         def score(text: str | None) -> float:
             nonlocal known
             words = words_of(text)
             if not words:
                 return float(1 / (1 + np.exp(-np.clip(self.bias, -30, 30))))
-            if len(known) > CACHED_WORDS:
-                known = WordSums(gain)
+            if len(known) + len(known.ngrams) > 2 * CACHED_WORDS:
+                known = WordSums(single)
             at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
             pairs = pair_rows(np.frombuffer(known.classes, np.int64)[at])
             total = np.frombuffer(known.sums)[at].sum() + PAIR_WEIGHT * gain[pairs].sum()
