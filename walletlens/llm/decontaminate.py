@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from walletlens.functions.shared_storage import broadcast_if_at_most, written
-from walletlens.llm.common import bit_filter, bits_on, free_name, map_batches, row_key
+from walletlens.llm.common import bit_filter, bits_on, by_bytes, free_name, map_batches, row_key
 
 SLOTS = 1 << 17
 DIMENSIONS = 128
@@ -49,7 +49,6 @@ LEAST_RUN = 3
 SHARED_RUN = 16
 FILTER_BITS = (1 << 20, 1 << 28)
 BROADCAST_RUNS = 20_000
-CACHED_WORDS = 400_000
 
 # Signs and white space become spaces, A-Z become lower case; other bytes stay.
 _PLAIN = bytes(
@@ -67,21 +66,9 @@ def slot_of(word: bytes) -> int:
     return zlib.crc32(word) % SLOTS
 
 
-class Remembered(dict):
-    """word -> ``function(word)``, kept for up to ``CACHED_WORDS`` words."""
-
-    def __init__(self, function):
-        super().__init__()
-        self.function = function
-
-    def __missing__(self, word: bytes) -> int:
-        value = self.function(word)
-        if len(self) < CACHED_WORDS:
-            self[word] = value
-        return value
-
-    def of(self, words) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+def word_numbers(words) -> np.ndarray:
+    """A number for each word; its remainder by ``SLOTS`` is the word's slot."""
+    return np.fromiter(map(zlib.crc32, words), np.int64, len(words))
 
 
 def passages_of(text: str | None) -> list[list[bytes]]:
@@ -123,11 +110,11 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     """For each slot the pairs of a document and a word in it, and the number of documents."""
 
     def count(batches):
-        seen, n, slots = np.zeros(SLOTS, np.int64), 0, Remembered(slot_of)
-        for batch in batches:
+        seen, n = np.zeros(SLOTS, np.int64), 0
+        for batch in (part for whole in batches for part in by_bytes(whole, "text", 1 << 22)):
             for text in batch.column("text").to_pylist():
                 n += 1
-                np.add.at(seen, slots.of(set(plain_words(text))), 1)
+                np.add.at(seen, word_numbers(set(plain_words(text))) % SLOTS, 1)
         used = np.flatnonzero(seen)
         yield {"slot": np.append(used, -1), "n": np.append(seen[used], n)}
 
@@ -245,29 +232,45 @@ def _shares(wanted: list[bytes], answer: list[bytes], near: list[bytes]) -> tupl
     return common, common_subsequence(answer, near) / len(answer) if answer else 1.0
 
 
-def _search(docs: DataFrame, index: LatentIndex) -> DataFrame:
+def _search(docs: DataFrame, index: LatentIndex, runs: tuple[list[int], np.ndarray] | None = None) -> DataFrame:
+    """Items that a document holds, and with ``runs`` (lengths, bit filter) also its runs that may be a passage's.
+
+    One reading of the texts serves both: rows of runs have ``near``, the words around, and no item.
+    """
+    names = ("item_id", "cosine", "common_share", "answer_share", "run", "near")
+
+    def places(words: list[bytes], numbers: np.ndarray) -> set[tuple[int, bytes]]:
+        found = set()
+        for n in runs[0] if runs else ():
+            hashes = run_hashes(numbers, n)
+            for at in np.flatnonzero(bits_on(runs[1], hashes)).tolist():
+                near = words[max(0, at - PASSAGE_WORDS) : at + n + PASSAGE_WORDS]
+                found.add((int(hashes[at]), b" ".join(near)))
+        return found
+
     def run(batches):
-        known = Remembered(lambda word: int(index.columns[slot_of(word)]))
-        for batch in batches:
-            out = {"row": [], "item_id": [], "cosine": [], "common_share": [], "answer_share": []}
+        for batch in (part for whole in batches for part in by_bytes(whole, "text", 1 << 22)):
+            rows, out = [], []
             for r, text in enumerate(batch.column("text").to_pylist()):
                 words = plain_words(text)
+                numbers = word_numbers(words)
                 best: dict[int, tuple] = {}
-                for window, passage, cosine in zip(*candidates(index, known.of(words))):
+                for window, passage, cosine in zip(*candidates(index, index.columns[numbers % SLOTS])):
                     item = index.items[passage][0]
                     common, answer = _checked(index, words, int(window), int(passage))
                     if _is_leak(common, answer):
                         best[item] = max(best.get(item, (0.0, 0.0, 0.0)), (common, answer, float(cosine)))
-                for item, (common, answer, cosine) in best.items():
-                    for name, value in zip(out, (r, item, cosine, common, answer)):
-                        out[name].append(value)
-            rows = out.pop("row")
-            yield {"doc_id": batch.column("doc_id").take(rows) if rows else [], **out}
+                out += [(item, cosine, common, answer, None, None) for item, (common, answer, cosine) in best.items()]
+                out += [(None, None, None, None, *place) for place in places(words, numbers)]
+                rows += [r] * (len(out) - len(rows))
+            yield {
+                "doc_id": batch.column("doc_id").take(rows) if rows else [],
+                **{name: [row[i] for row in out] for i, name in enumerate(names)},
+            }
 
     kinds = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id long"
-    return map_batches(
-        docs.select("doc_id", "text"), run, f"{kinds}, cosine double, common_share double, answer_share double"
-    )
+    schema = f"{kinds}, cosine double, common_share double, answer_share double, run long, near binary"
+    return map_batches(docs.select("doc_id", "text"), run, schema)
 
 
 def run_length(n_words: int) -> int:
@@ -286,10 +289,6 @@ def run_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return hashes ^ (hashes >> np.int64(29))
 
 
-def _numbers(known: Remembered, words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-
-
 def passage_runs(passages: DataFrame) -> DataFrame:
     """run, item_id, words, answer: the runs by which each passage is looked up.
 
@@ -297,13 +296,12 @@ def passage_runs(passages: DataFrame) -> DataFrame:
     """
 
     def cut(batches):
-        known = Remembered(zlib.crc32)
         for batch in batches:
             rows = []
             for row in batch.to_pylist():
                 words = row["words"].split()
                 if n := run_length(len(words)):
-                    for h in set(run_hashes(_numbers(known, words), n)[::n].tolist()):
+                    for h in set(run_hashes(word_numbers(words), n)[::n].tolist()):
                         rows.append((h, n, row["item_id"], row["k"], row["words"], row["answer"]))
             names = ("run", "n", "item_id", "k", "words", "answer")
             yield {name: [row[i] for row in rows] for i, name in enumerate(names)}
@@ -318,32 +316,16 @@ def passage_runs(passages: DataFrame) -> DataFrame:
     )
 
 
-def _look_up(docs: DataFrame, passages: DataFrame) -> DataFrame:
-    """Documents that hold a run of a passage and pass the checks around it; cosine is null."""
-    runs = written(passage_runs(passages), "runs")
+def _run_filter(runs: DataFrame) -> tuple[list[int], np.ndarray]:
+    """Lengths of the runs and a bit filter of their hashes."""
     total = runs.count()
     lengths = [r["n"] for r in runs.select("n").distinct().collect()]  # at most RUN_WORDS
     low, high = FILTER_BITS
-    filtered = bit_filter(runs, "run", min(high, max(low, 1 << (1024 * total).bit_length())))
+    return lengths, bit_filter(runs, "run", min(high, max(low, 1 << (1024 * total).bit_length())))
 
-    def places(batches):
-        known = Remembered(zlib.crc32)
-        for batch in batches:
-            out = {"row": [], "run": [], "near": []}
-            for r, text in enumerate(batch.column("text").to_pylist()):
-                words = plain_words(text)
-                numbers = _numbers(known, words)
-                found = set()
-                for n in lengths:
-                    hashes = run_hashes(numbers, n)
-                    for at in np.flatnonzero(bits_on(filtered, hashes)).tolist():
-                        near = words[max(0, at - PASSAGE_WORDS) : at + n + PASSAGE_WORDS]
-                        found.add((int(hashes[at]), b" ".join(near)))
-                for run, near in found:
-                    for name, value in zip(out, (r, run, near)):
-                        out[name].append(value)
-            rows = out.pop("row")
-            yield {"doc_id": batch.column("doc_id").take(rows) if rows else [], **out}
+
+def _look_up(near: DataFrame, runs: DataFrame) -> DataFrame:
+    """Documents whose places ``near`` (doc_id, run, near) hold a passage's run and pass the checks; cosine is null."""
 
     def check(batches):
         for batch in batches:
@@ -360,8 +342,7 @@ def _look_up(docs: DataFrame, passages: DataFrame) -> DataFrame:
                 "cosine": [None] * len(rows), "common_share": commons, "answer_share": answers,
             }
 
-    kind = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}"
-    near = map_batches(docs.select("doc_id", "text"), places, f"{kind}, run long, near binary")
+    kind = f"doc_id {near.schema['doc_id'].dataType.simpleString()}"
     joined = near.join(broadcast_if_at_most(runs.drop("n"), BROADCAST_RUNS), "run")
     schema = f"{kind}, item_id long, cosine double, common_share double, answer_share double"
     return map_batches(joined.select("doc_id", "near", "item_id", "words", "answer"), check, schema)
@@ -416,11 +397,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     columns = np.full(SLOTS, -1, np.int32)
     columns[slots] = np.arange(len(slots))
     if not slots:
-        return _search(docs.limit(0), LatentIndex(columns, *[np.zeros((0, 1), np.float32)] * 2, np.zeros(0), []))
+        nothing = LatentIndex(columns, *[np.zeros((0, 1), np.float32)] * 2, np.zeros(0), [])
+        return _search(docs.limit(0), nothing).drop("run", "near")
     space = latent_space(passages.select("slots", "counts"), columns, weights, len(slots))
     word_vectors = (space * weights[slots][:, None]).astype(np.float32)
 
-    found = _look_up(docs, passages)
+    runs, found = written(passage_runs(passages), "runs"), None
     for block in _blocks(passages.select("item_id", "words", "answer").orderBy("item_id", "k")):
         vectors, items = [], []
         for row in block:
@@ -430,8 +412,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             items.append((row["item_id"], words, bytes(row["answer"]).split()))
         lengths = np.linalg.norm(vectors, axis=1)
         directions = np.array(vectors) / np.maximum(lengths, 1e-30)[:, None]
-        hits = _search(docs, LatentIndex(columns, word_vectors, directions, lengths, items))
-        found = found.unionByName(hits)
+        index = LatentIndex(columns, word_vectors, directions, lengths, items)
+        if found is None:
+            # Stored before runs are checked: no task needs two Python workers, which would keep their memory.
+            first = written(_search(docs, index, _run_filter(runs)), "found")
+            near = first.where("near is not null").select("doc_id", "run", "near")
+            found = first.where("near is null").drop("run", "near").unionByName(_look_up(near, runs))
+        else:
+            found = found.unionByName(_search(docs, index).drop("run", "near"))
     return found.groupBy("doc_id", "item_id").agg(
         *[F.max(c).alias(c) for c in ("cosine", "common_share", "answer_share")]
     )
