@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 
 pytest.importorskip("public_tokenizers")
 
-from walletlens.llm import decontaminate  # noqa: E402
+from walletlens.llm import decontaminate, suffix_dedup  # noqa: E402
 
 
 def plan_of(df) -> str:
@@ -21,3 +23,21 @@ def test_leaks_are_found_by_one_reading_and_without_chained_workers(spark):
     # What is left to do when the texts have been read is the check of places that share a run.
     assert plan_of(leaks).count("MapInArrow") == 1
     assert [(r["doc_id"], r["item_id"], r["common_share"]) for r in leaks.collect()] == [(99, 5, 1.0)]
+
+
+def test_many_segments_of_one_anchor_send_on_no_row_for_each_string(spark, monkeypatch):
+    """A passage of 300 bytes in 200 different texts: nothing repeats, so hardly anything may be sent on."""
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 16)
+    rng = random.Random(11)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    passage = letters(300)
+    texts = [letters(500) + passage + letters(500) for _ in range(200)]
+    texts += [f"{texts[0][300:1000]}#{letters(50)}", f"{texts[1][450:850]}#"]  # 700 and 400 bytes of others
+    stored, kept = [], suffix_dedup.written
+    monkeypatch.setattr(suffix_dedup, "written", lambda df, label: stored.append((label, kept(df, label))) or stored[-1][1])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    gone = {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in suffix_dedup.remove_repeats(docs).collect() if r["n_removed"]}
+    assert gone == {0: (700, 1), 200: (700, 1), 1: (400, 1), 201: (400, 1)}
+    # Every row after the first cut; a row for each string of the passage's segments would make tens of thousands.
+    rows = [(label, df.count()) for label, df in stored if label not in ("kinds", "cuts", "spans")][1:]
+    assert sum(n for _, n in rows) < 4_000, rows
