@@ -8,7 +8,7 @@ import pytest
 
 pytest.importorskip("public_tokenizers")
 
-from walletlens.llm import decontaminate, suffix_dedup  # noqa: E402
+from walletlens.llm import decontaminate, jaccard_join, suffix_dedup  # noqa: E402
 
 
 def plan_of(df) -> str:
@@ -41,3 +41,17 @@ def test_many_segments_of_one_anchor_send_on_no_row_for_each_string(spark, monke
     # Every row after the first cut; a row for each string of the passage's segments would make tens of thousands.
     rows = [(label, df.count()) for label, df in stored if label not in ("kinds", "cuts", "spans")][1:]
     assert sum(n for _, n in rows) < 4_000, rows
+
+
+def test_sets_without_an_equal_minimum_hash_are_not_shuffled(spark, monkeypatch):
+    rng = random.Random(4)
+    text = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    common, one = text(30), text(200)
+    docs = [(k, " ".join(common + text(60))) for k in range(30)]  # they share shingles, but link with none
+    docs += [(100, " ".join(one)), (101, " ".join(one[:-3]))]
+    plans, kept = [], jaccard_join._linked_groups
+    monkeypatch.setattr(jaccard_join, "_linked_groups", lambda rows, *a, **k: plans.append(plan_of(rows)) or kept(rows, *a, **k))
+    found = jaccard_join.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {k: 100 if k == 101 else k for k, _ in docs}
+    # In both preparing rounds a filter stands before the first exchange of sets.
+    assert len(plans) == 3 and all("pythonUDF" in plan for plan in plans[:2])
