@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 pytest.importorskip("public_tokenizers")
 
-from walletlens.llm import decontaminate, jaccard_join, suffix_dedup  # noqa: E402
+from walletlens.llm import decontaminate, jaccard_join, quality_classifier, suffix_dedup  # noqa: E402
 
 
 def plan_of(df) -> str:
@@ -55,3 +56,25 @@ def test_sets_without_an_equal_minimum_hash_are_not_shuffled(spark, monkeypatch)
     assert {r["doc_id"]: r["component_id"] for r in found} == {k: 100 if k == 101 else k for k, _ in docs}
     # In both preparing rounds a filter stands before the first exchange of sets.
     assert len(plans) == 3 and all("pythonUDF" in plan for plan in plans[:2])
+
+
+def test_training_examples_reach_the_driver_packed(spark, monkeypatch):
+    rng = random.Random(6)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.5)) % 5000}" for _ in range(400)) for _ in range(60)]
+    texts += ["", None, "one", "é \x00 ü"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(len(texts))], "doc_id long, quality int")
+    seen, kept = [], quality_classifier.train
+    monkeypatch.setattr(quality_classifier, "train", lambda examples, seed: seen.append(examples) or kept(examples, seed))
+    model = quality_classifier.fit_quality_model(docs, labels)
+    [examples] = seen
+    used = [k for k in range(len(texts)) if quality_classifier.zlib.crc32(str(k).encode()) % 5]
+    plain = [(*quality_classifier.document_features(texts[k]), k % 2) for k in used]
+    assert len(examples) == len(plain)
+    for (rows, shares, label), (r, s, c) in zip(examples, plain):
+        assert label == c and rows.dtype == r.dtype and shares.dtype == s.dtype
+        assert np.array_equal(rows, r) and np.array_equal(shares, s)
+    assert 3 * sum(len(data) for data, _ in examples.pairs) < sum(r.nbytes + s.nbytes for r, s, _ in plain)
+    # The model is the one of the plain examples, bit by bit.
+    whole = quality_classifier.condensed(*kept(plain, 7))
+    assert np.array_equal(model.gain, whole.gain) and model.bias == whole.bias

@@ -6,8 +6,8 @@ word by word, each word to one of ``WORD_CLASSES`` classes: all pairs of two cla
 ``PAIR_WEIGHT`` times, about as much as a word's own rows together.  Nothing else enters: no counts made by hand.
 A document is the mean of all its rows, and a softmax over it gives the classes.  Table and output
 layer are trained together by stochastic gradient descent in numpy on a bounded sample of labelled
-documents (``MAX_TRAIN_DOCS``).  Because mean and output layer are linear, scoring needs one number
-per hashed feature, which is what executors receive.
+documents (``MAX_TRAIN_DOCS``), which reach the driver compressed and are unpacked one at a time.  Because mean
+and output layer are linear, scoring needs one number per hashed feature, which is what executors receive.
 
 Classes, weight and n-grams were chosen on fold 1 of the training folds; the held-out fold had no part in it.
 """
@@ -17,7 +17,7 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -66,11 +66,11 @@ def pair_rows(classes: np.ndarray) -> np.ndarray:
     return BUCKETS + classes[:-1] * WORD_CLASSES + classes[1:]
 
 
-def document_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct rows of a text and their shares of all its features."""
+def feature_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows of a text in order, and how often each counts."""
     words = words_of(text)
     if not words:
-        return np.zeros(0, np.int32), np.zeros(0, np.float32)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     counts = Counter(words)
     ids, weight = [], []
     for w, n in counts.items():
@@ -80,8 +80,43 @@ def document_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     classes = {w: word_class(w) for w in counts}
     pairs = pair_rows(np.array([classes[w] for w in words]))
     rows, place = np.unique(np.concatenate([np.array(ids), pairs]), return_inverse=True)
-    share = np.bincount(place, weights=np.concatenate([np.array(weight), np.full(len(pairs), PAIR_WEIGHT)]))
-    return rows.astype(np.int32), (share / share.sum()).astype(np.float32)
+    found = np.bincount(place, weights=np.concatenate([np.array(weight), np.full(len(pairs), PAIR_WEIGHT)]))
+    return rows, found.astype(np.int64)
+
+
+def row_shares(rows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return rows.astype(np.int32), (counts / counts.sum()).astype(np.float32) if len(rows) else np.zeros(0, np.float32)
+
+
+def document_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows of a text and their shares of all its features."""
+    return row_shares(*feature_counts(text))
+
+
+def packed(rows: np.ndarray, counts: np.ndarray) -> bytes:
+    """Rows and counts without loss: gaps and counts, high bytes apart from low ones, compressed."""
+    numbers = np.concatenate([np.diff(rows, prepend=0), counts]).astype("<i8")
+    return zlib.compress(numbers.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    numbers = np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1).T.copy().view("<i8").ravel()
+    gaps, counts = np.split(numbers, 2)
+    return np.cumsum(gaps), counts
+
+
+class PackedExamples(Sequence):
+    """(rows, shares, class) examples from (packed features, class) pairs; each is unpacked when it is asked for."""
+
+    def __init__(self, pairs: list[tuple[bytes, int]]):
+        self.pairs = pairs
+
+    def __len__(self) -> int:
+        return len(self.pairs)
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray, int]:
+        data, label = self.pairs[i]
+        return (*row_shares(*unpacked(data)), label)
 
 
 class NgramGains(dict):
@@ -141,7 +176,7 @@ class QualityModel:
 
 
 def train(
-    examples: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7
+    examples: Sequence[tuple[np.ndarray, np.ndarray, int]], seed: int = 7
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Embeddings, output layer and bias, by stochastic gradient descent over (rows, shares, class) examples, one at a time.
 
@@ -196,19 +231,18 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TR
 
     def extract(batches):
         for batch in batches:
-            found = [document_features(t) for t in batch.column("text").to_pylist()]
             yield {
                 "doc_id": batch.column("doc_id"),
                 "quality": batch.column("quality"),
-                "rows": [r.tobytes() for r, _ in found],
-                "shares": [s.tobytes() for _, s in found],
+                "features": [packed(*feature_counts(t)) for t in batch.column("text").to_pylist()],
             }
 
     kind = docs.schema["doc_id"].dataType.simpleString()
+    # Put in order here: a sort in Spark would have every text's features made twice, once to find its ranges.
     rows = map_batches(texts.select("doc_id", "text", "quality"), extract,
-                       f"doc_id {kind}, quality int, rows binary, shares binary").orderBy("doc_id").collect()
-    examples = [(np.frombuffer(r["rows"], np.int32), np.frombuffer(r["shares"], np.float32), r["quality"]) for r in rows]
-    return condensed(*train(examples, seed))
+                       f"doc_id {kind}, quality int, features binary").collect()
+    rows.sort(key=lambda r: r["doc_id"])
+    return condensed(*train(PackedExamples([(r["features"], r["quality"]) for r in rows]), seed))
 
 
 def score_documents(docs: DataFrame, model: QualityModel, score: str = "score") -> DataFrame:
