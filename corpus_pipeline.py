@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 from walletlens.functions.shared_storage import written
 from walletlens.llm import decontaminate, jaccard_join, mixing, quality_classifier, token_output
-from walletlens.llm.common import free_name, row_key, table
+from walletlens.llm.common import bit_filter, free_name, maybe_in, row_key, table
 from walletlens.llm.queries import TOKENIZER
 
+FILTER_BITS = 1 << 24
+
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose score is below the classifier's threshold; null texts are scored as empty.
@@ -37,11 +39,19 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """
     key, copy = free_name(docs, "row_key"), free_name(docs, "copy_number")
     groups = jaccard_join.near_duplicates(docs.select(row_key().alias("doc_id"), "text"))
-    gone = groups.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias(key)).distinct()
-    left = docs.withColumn(key, row_key()).join(written(gone, "gone"), key, "left_anti")
+    judged = groups.groupBy(F.col("doc_id").alias(key)).agg(
+        F.max(F.col("component_id") != F.col("doc_id")).alias("goes"), F.count(F.lit(1)).alias("copies")
+    )
+    judged = written(judged.where("goes or copies > 1").select(key, "goes"), "judged")
+    # Texts that go or have copies are shuffled to their judgement; the others stay where they are.
+    touched = maybe_in(bit_filter(judged.select(F.col(key)["text_hash"].alias("hash")), "hash", FILTER_BITS))
+    keyed = docs.withColumn(key, row_key())
+    stay = keyed.where(~touched(F.col(key)["text_hash"])).select(*docs.columns)
+    left = keyed.where(touched(F.col(key)["text_hash"])).join(judged.where("goes").select(key), key, "left_anti")
     # Rows that share an id and a text are copies of each other; one of them stays.
     copies = Window.partitionBy(key).orderBy(F.lit(0))
-    return left.withColumn(copy, F.row_number().over(copies)).where(F.col(copy) == 1).select(*docs.columns)
+    left = left.withColumn(copy, F.row_number().over(copies)).where(F.col(copy) == 1).select(*docs.columns)
+    return stay.union(left)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

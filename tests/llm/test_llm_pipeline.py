@@ -71,6 +71,19 @@ def test_groups_are_told_apart_by_row(spark, folder):
     assert sum(got.values()) == 8
 
 
+def test_only_texts_that_go_or_have_copies_are_shuffled(spark, folder):
+    rows = [(k, words(f"t{k}_"), "a") for k in range(40)] + [(50, words("t3_"), "b"), (4, words("t4_"), "b"), (4, words("t4_"), "a")]
+    docs = frame(spark, rows)
+    kept = pipeline.keep_one_of_each_group(spark, docs, folder)
+    assert pairs(kept) == Counter((k, words(f"t{k}_")) for k in range(40))
+    plan = kept._jdf.queryExecution().optimizedPlan()
+    assert plan.nodeName() == "Union"
+    stay, judged = (plan.children().apply(i).toString() for i in range(2))
+    assert "Join" not in stay and "Window" not in stay and "Join" in judged and "Window" in judged
+    # The texts that are joined have passed the filter.
+    assert judged.index("Join") < judged.index("pythonUDF")
+
+
 def test_leaks_are_told_apart_by_row(spark, folder):
     leak = f"{PLAIN} {ITEM} {OTHER}"
     rows = [(1, leak, "a"), (1, PLAIN, "a"), (None, leak, "a"), (None, OTHER, "a"), (2, None, "a"), (3, "", None),
