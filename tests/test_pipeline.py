@@ -28,6 +28,28 @@ def test_tune_keeps_a_chosen_broadcast_limit(spark):
         spark.conf.set(key, old)
 
 
+def test_a_small_driver_gets_a_small_broadcast_limit(spark, monkeypatch, tmp_path):
+    """A table of half a million keys, of a few MB in Parquet, would take a large part of 750 MB as a hash table."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    keys = spark.range(500_000).select("id", F.xxhash64("id").alias("key"))
+    keys.write.parquet(str(tmp_path / "keys"))
+
+    def plan() -> str:
+        table = spark.read.parquet(str(tmp_path / "keys"))
+        joined = spark.range(1_000_000_000).withColumnRenamed("id", "key").join(table, "key")
+        return joined._jdf.queryExecution().sparkPlan().toString()
+
+    try:
+        for heap, broadcast in ((750 << 20, False), (8 << 30, True)):
+            monkeypatch.setattr(session, "driver_heap", lambda spark, heap=heap: heap, raising=False)
+            spark.conf.unset(key)
+            session.tune(spark)
+            assert ("BroadcastHashJoin" in plan()) == broadcast
+    finally:
+        spark.conf.set(key, old)
+
+
 def test_ingest_two_slices(spark, tmp_path):
     views = SampleViews(spark, FOLDER)
     raw = (views.raw_transactions(), views.tokens(), views.transfers(), views.raw_contracts())
