@@ -9,6 +9,7 @@ import pytest
 
 pytest.importorskip("public_tokenizers")
 
+from walletlens import session  # noqa: E402
 from walletlens.llm import decontaminate, jaccard_join, quality_classifier, suffix_dedup  # noqa: E402
 
 
@@ -58,6 +59,26 @@ def test_sets_without_an_equal_minimum_hash_are_not_shuffled(spark, monkeypatch)
     assert len(plans) == 3 and all("pythonUDF" in plan for plan in plans[:2])
 
 
+def test_a_small_driver_gets_no_tables_of_hashes(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(40)]
+    docs = spark.createDataFrame([*enumerate(texts), *enumerate(texts[:20], 100)], "doc_id long, text string")
+    monkeypatch.setattr(session, "driver_heap", lambda spark: 1 << 17, raising=False)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        found = jaccard_join.near_duplicates(docs)
+        assert "SortMergeJoin" in plan_of(found) and "BroadcastHashJoin" not in plan_of(found)
+        groups = {r["doc_id"]: r["component_id"] for r in found.collect()}
+        assert groups == {k: k % 100 for k in [*range(40), *range(100, 120)]}
+        spark.conf.set(key, "5MB")
+        session.bound_broadcasts(spark)
+        assert spark.conf.get(key) == "5MB"
+    finally:
+        spark.conf.set(key, old)
+
+
 def test_training_examples_reach_the_driver_packed(spark, monkeypatch):
     rng = random.Random(6)
     texts = [" ".join(f"w{int(rng.paretovariate(0.5)) % 5000}" for _ in range(400)) for _ in range(60)]
